@@ -229,13 +229,8 @@ def zscore(df: DataFrame, columns: Sequence[str], prefix: str = "std_") -> DataF
     for i, c in enumerate(columns):
         value = F.col(f"`{c}`").cast("double")
         parts += [F.avg(value).alias(f"m{i}"), F.stddev_samp(value).alias(f"s{i}")]
-    stats = one_row(df, *parts)
     scaled = {
-        f"{prefix}{c}": F.try_divide(
-            F.col(f"`{c}`").cast("double") - stats.getField(f"m{i}"), stats.getField(f"s{i}")
-        )
+        f"{prefix}{c}": F.try_divide(F.col(f"`{c}`").cast("double") - F.col(f"_stats.m{i}"), F.col(f"_stats.s{i}"))
         for i, c in enumerate(columns)
     }
-    return df.withColumns(scaled)
-
-
+    return df.withColumn("_stats", one_row(df, *parts)).withColumns(scaled).drop("_stats")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import equal_width_bin, one_row
-from ledgerloom.operators.quantiles import column_quantiles, scalar_quantiles
+from ledgerloom.operators.quantiles import column_quantiles
 
 
 def _rates(df: DataFrame, bin_number: Column, target: str) -> DataFrame:
@@ -35,23 +35,27 @@ def target_rate_by_band(df: DataFrame, feature: str, target: str, width: int = 2
 def target_rate_equal_width(df: DataFrame, feature: str, target: str, bins: int = 10) -> DataFrame:
     """Mean target in right-closed bins of equal width over the feature's range; empty bins are left out."""
     value = F.col(feature).cast("double")
-    bounds = one_row(df, F.min(value).alias("low"), F.max(value).alias("high"))
-    return _rates(df, equal_width_bin(value, bounds.getField("low"), bounds.getField("high"), bins), target)
+    bounded = df.withColumn("_b", one_row(df, F.min(value).alias("low"), F.max(value).alias("high")))
+    return _rates(bounded, equal_width_bin(value, F.col("_b.low"), F.col("_b.high"), bins), target)
 
 
 def target_rate_equal_freq(df: DataFrame, feature: str, target: str, bins: int = 10) -> DataFrame:
     """Mean target in right-closed bins between quantiles; equal edges are merged."""
-    edges = column_quantiles(df, feature, [i / bins for i in range(bins + 1)], "edges")
-    rounded = edges.select(F.array_distinct(F.transform("edges", lambda e: F.round(e, 9))).alias("edges")).scalar()
+    edges = column_quantiles(df, feature, [i / bins for i in range(bins + 1)]).scalar()
     value = F.round(F.col(feature).cast("double"), 9)
-    below = F.size(F.filter(rounded, lambda e: e < value))
-    return _rates(df, F.when(value.isNotNull(), F.greatest(F.lit(1), below)), target)
+    edge = [F.round(F.col("_edges")[i], 9) for i in range(bins + 1)]
+    below = sum(
+        (((e < value) & (F.lit(True) if i == 0 else e != edge[i - 1])).cast("int") for i, e in enumerate(edge)),
+        F.lit(0),
+    )
+    return _rates(df.withColumn("_edges", edges), F.when(value.isNotNull(), F.greatest(F.lit(1), below)), target)
 
 
 def target_rate_trimmed(df: DataFrame, feature: str, target: str, bins: int = 10) -> DataFrame:
     """Equal-width bins between the 1st and 99th percentile; values outside are dropped."""
-    low, high = scalar_quantiles(df, feature, [0.01, 0.99])
-    return _rates(df, equal_width_bin(F.col(feature).cast("double"), low, high, bins), target)
+    edges = column_quantiles(df, feature, [0.01, 0.99]).scalar()
+    number = F.col(feature).cast("double")
+    return _rates(df.withColumn("_q", edges), equal_width_bin(number, F.col("_q")[0], F.col("_q")[1], bins), target)
 
 
 def target_rate_grid(df: DataFrame, rows: str, columns: str, target: str, bins: int = 5) -> DataFrame:
@@ -60,8 +64,11 @@ def target_rate_grid(df: DataFrame, rows: str, columns: str, target: str, bins:
     bounds = one_row(
         df, F.min(row).alias("rl"), F.max(row).alias("rh"), F.min(column).alias("cl"), F.max(column).alias("ch")
     )
-    binned = df.withColumn("row_bin", equal_width_bin(row, bounds.getField("rl"), bounds.getField("rh"), bins))
-    binned = binned.withColumn("_c", equal_width_bin(column, bounds.getField("cl"), bounds.getField("ch"), bins))
+    binned = (
+        df.withColumn("_b", bounds)
+        .withColumn("row_bin", equal_width_bin(row, F.col("_b.rl"), F.col("_b.rh"), bins))
+        .withColumn("_c", equal_width_bin(column, F.col("_b.cl"), F.col("_b.ch"), bins))
+    )
     numbers = list(range(1, bins + 1))
     grid = (
         binned.filter(F.col("row_bin").isNotNull() & F.col("_c").isNotNull())

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import hash_number, one_row, value_range
-from ledgerloom.operators.quantiles import group_stats, scalar_quantiles
+from ledgerloom.operators.quantiles import column_quantiles, group_stats
 from ledgerloom.operators.scan import prefix_sums
 
 
@@ -55,8 +55,10 @@ def column_medians(df: DataFrame, columns: Sequence[str]) -> Column:
 def impute_median(df: DataFrame, columns: Sequence[str], fitted_on: DataFrame | None = None) -> DataFrame:
     """Infinite and missing values become the column median."""
     medians = column_medians(fitted_on if fitted_on is not None else df, columns)
-    return df.withColumns(
-        {c: F.coalesce(finite(F.col(f"`{c}`")), medians.getField(f"m{i}")) for i, c in enumerate(columns)}
+    return (
+        df.withColumn("_medians", medians)
+        .withColumns({c: F.coalesce(finite(F.col(f"`{c}`")), F.col(f"_medians.m{i}")) for i, c in enumerate(columns)})
+        .drop("_medians")
     )
 
 
@@ -171,15 +173,18 @@ def histogram(
     """
     value = F.col(value) if isinstance(value, str) else value
     numbers = df.select(*keys, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    bounds = one_row(numbers, F.min("_v").alias("low"), F.max("_v").alias("high"))
-    low = bounds.getField("low") if low is None else low
-    high = bounds.getField("high") if high is None else high
+    if low is None or high is None:
+        bounds = one_row(numbers, F.min("_v").alias("low"), F.max("_v").alias("high"))
+    else:
+        bounds = F.struct(low.alias("low"), high.alias("high"))
+    bounded = numbers.withColumn("_bounds", bounds)
+    low, high = F.col("_bounds.low"), F.col("_bounds.high")
     width = (high - low) / F.lit(float(bins))
     place = F.least(F.lit(bins - 1), F.floor(F.coalesce(F.try_divide(F.col("_v") - low, width), F.lit(0.0))))
     counted = (
-        numbers.filter((F.col("_v") >= low) & (F.col("_v") <= high))
+        bounded.filter((F.col("_v") >= low) & (F.col("_v") <= high))
         .groupBy(*keys, place.cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), F.first("_bounds").alias("_bounds"))
     )
     # At most ``bins`` rows per key are left for this window.
     total = F.sum("n").over(Window.partitionBy(*keys))
@@ -199,11 +204,12 @@ def date_histogram(df: DataFrame, bins: int, date: str = "posted_date", keys: Se
 
 def box_stats(df: DataFrame, value: str = "amount") -> DataFrame:
     """Quartiles, whisker ends (furthest values within 1.5 interquartile ranges) and number of outliers."""
-    q1, q2, q3 = scalar_quantiles(df, value, [0.25, 0.5, 0.75])
+    quartiles = column_quantiles(df, value, [0.25, 0.5, 0.75]).scalar()
+    q1, q2, q3 = (F.col("_q")[i] for i in range(3))
     number = F.col(value).cast("double")
     low, high = q1 - (q3 - q1) * 1.5, q3 + (q3 - q1) * 1.5
     inside = (number >= low) & (number <= high)
-    return df.agg(
+    return df.withColumn("_q", quartiles).agg(
         F.max(q1).alias("q1"),
         F.max(q2).alias("median"),
         F.max(q3).alias("q3"),
@@ -215,7 +221,7 @@ def box_stats(df: DataFrame, value: str = "amount") -> DataFrame:
 
 def trim_global_quantile(df: DataFrame, value: str = "amount", q: float = 0.99, keep: str = "below") -> DataFrame:
     """Rows below (``below``), at or below (``upto``) or above (``above``) a quantile of the column."""
-    (edge,) = scalar_quantiles(df, value, [q])
+    edge = column_quantiles(df, value, [q]).scalar()[0]
     number = F.col(value).cast("double")
     return df.filter({"below": number < edge, "upto": number <= edge, "above": number > edge}[keep])
 

@@ -105,9 +105,3 @@ def column_quantiles(
     value = F.col(value) if isinstance(value, str) else value
     values = df.select(F.lit(0).alias("_all"), value.cast("double").alias("_x"))
     return group_stats(values, ["_all"], "_x", probabilities, out=out, max_group_rows=max_group_rows).select(out)
-
-
-def scalar_quantiles(df: DataFrame, value: Column | str, probabilities: Sequence[float]) -> list[Column]:
-    """The quantiles of a whole column as scalar-subquery columns, usable in any projection of any table."""
-    picked = column_quantiles(df, value, probabilities).scalar()
-    return [picked.getItem(i) for i in range(len(probabilities))]

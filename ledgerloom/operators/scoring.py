@@ -52,16 +52,20 @@ def linear_contributions(
     }
 
 
-def column_moments(df: DataFrame, features: Sequence[str]) -> tuple[dict[str, Column], dict[str, Column]]:
-    """Means and population standard deviations as scalar columns."""
+def with_moments(
+    df: DataFrame, features: Sequence[str], fitted_on: DataFrame | None = None
+) -> tuple[DataFrame, dict[str, Column], dict[str, Column]]:
+    """The table with the features' means and population standard deviations attached as one struct
+    (``_moments``, from ``fitted_on`` if given), and the columns that read them."""
     parts = []
     for i, f in enumerate(features):
         value = F.col(f"`{f}`").cast("double")
         parts += [F.avg(value).alias(f"m{i}"), F.stddev_pop(value).alias(f"s{i}")]
-    stats = one_row(df, *parts)
+    stats = one_row(df if fitted_on is None else fitted_on, *parts)
     return (
-        {f: stats.getField(f"m{i}") for i, f in enumerate(features)},
-        {f: stats.getField(f"s{i}") for i, f in enumerate(features)},
+        df.withColumn("_moments", stats),
+        {f: F.col(f"_moments.m{i}") for i, f in enumerate(features)},
+        {f: F.col(f"_moments.s{i}") for i, f in enumerate(features)},
     )
 
 
