@@ -88,3 +88,13 @@ def with_class_weight(df: DataFrame, label: str, out: str = "class_weight") -> D
     weights = class_weights(df, label).select(label, F.col("weight").alias(out))
     # One line per class.
     return df.join(F.broadcast(weights), label)
+
+
+def keep_keys(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is in the id table."""
+    return df.join(ids.select(key), key, "left_semi")
+
+
+def drop_keys(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not in the id table."""
+    return df.join(ids.select(key), key, "left_anti")
