@@ -183,7 +183,7 @@ def smote_rows(points: DataFrame, label: str = "y", minority: int = 1, k: int =
     )
     wanted = F.greatest(F.lit(0), sizes.getField("many") - sizes.getField("few"))
     neighbors = smote_neighbors(points, label, minority, k)
-    available = neighbors.agg(F.max("rank").alias("k")).scalar()
+    available = F.least(F.lit(k), sizes.getField("few") - 1)
     flagged = take_by_hash(few, label, "id", F.try_mod(wanted, sizes.getField("few")), "_extra")
     copies = F.floor(wanted / sizes.getField("few")) + F.col("_extra").cast("int")
     planned = flagged.select("id", "v", copies.cast("int").alias("_copies")).filter(F.col("_copies") > 0)
@@ -235,5 +235,6 @@ def drop_tomek(points: DataFrame, label: str = "y") -> DataFrame:
 
 
 def resample(points: DataFrame, label: str = "y", minority: int = 1, k: int = 5) -> DataFrame:
-    """Over-sample the minority to 1:1, then remove Tomek links."""
-    return drop_tomek(oversample(points, label, minority, k), label)
+    """Over-sample the minority to 1:1, then remove Tomek links. The search reads the over-sampled rows
+    several times, so they are checkpointed in between."""
+    return drop_tomek(cut_lineage(oversample(points, label, minority, k)), label)

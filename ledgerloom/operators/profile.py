@@ -260,10 +260,15 @@ def nonzero_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def target_correlation(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
-    """Correlation of each column with the target, over rows where both are known."""
-    wide = df.agg(
-        *[F.corr(F.col(f"`{c}`").cast("double"), F.col(target).cast("double")).alias(c) for c in columns]
-    )
+    """Correlation of each column with the target, over rows where both are known; null for a constant."""
+    goal = F.col(target).cast("double")
+
+    def correlation(value: Column) -> Column:
+        # ``corr`` raises on a constant column in ANSI mode, so the quotient is written out.
+        x, y = F.when(goal.isNotNull(), value), F.when(value.isNotNull(), goal)
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    wide = df.agg(*[correlation(F.col(f"`{c}`").cast("double")).alias(c) for c in columns])
     return wide.unpivot([], [F.col(f"`{c}`") for c in columns], "feature", "correlation")
 
 

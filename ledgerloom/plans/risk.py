@@ -59,12 +59,14 @@ def prepare(
     rows = profile.impute_median(rows, features)
     sides = sampling.split_side(rows, key, train_percent)
     array = F.array(*[F.col(f"`{f}`").cast("double") for f in features])
-    points = sides.select(
-        F.col(key).cast("string").alias("id"), array.alias("v"), F.col(target).cast("int").alias("y"), "side"
+    points = cut_lineage(
+        sides.select(
+            F.col(key).cast("string").alias("id"), array.alias("v"), F.col(target).cast("int").alias("y"), "side"
+        )
     )
     train = points.filter("side = 'train'").drop("side")
     if balance:
-        train = neighbors.resample(cut_lineage(train), "y")
+        train = neighbors.resample(train, "y")
 
     def unpacked(df: DataFrame) -> DataFrame:
         return df.select(
