@@ -123,12 +123,11 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """False and true positive rate at every distinct score, from the highest score down."""
     counted = score_counts(df, label, score).withColumn("_down", -F.col("score"))
     counted = counted.withColumn("_range", value_range("_down"))
-    along = prefix_sums(counted, [], ["_range"], ["_down"], ["pos", "neg"])
-    totals = one_row(counted, F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    along = prefix_sums(counted, [], ["_range"], ["_down"], ["pos", "neg"], total_suffix="_all")
     return along.select(
         F.col("score").alias("threshold"),
-        F.try_divide(F.col("neg_upto").cast("double"), totals.getField("neg")).alias("fpr"),
-        F.try_divide(F.col("pos_upto").cast("double"), totals.getField("pos")).alias("tpr"),
+        F.try_divide(F.col("neg_upto").cast("double"), F.col("neg_all")).alias("fpr"),
+        F.try_divide(F.col("pos_upto").cast("double"), F.col("pos_all")).alias("tpr"),
     )
 
 

@@ -119,11 +119,10 @@ def ks_two_sample(df: DataFrame, value: str, side: str, first: str, second: str)
         )
         .withColumn("_range", value_range("_v"))
     )
-    along = prefix_sums(counted, [], ["_range"], ["_v"], ["_a", "_b"])
-    sizes = one_row(along, F.sum("_a").alias("a"), F.sum("_b").alias("b"))
+    along = prefix_sums(counted, [], ["_range"], ["_v"], ["_a", "_b"], total_suffix="_all")
     gap = F.abs(
-        F.try_divide(F.col("_a_upto").cast("double"), sizes.getField("a"))
-        - F.try_divide(F.col("_b_upto").cast("double"), sizes.getField("b"))
+        F.try_divide(F.col("_a_upto").cast("double"), F.col("_a_all"))
+        - F.try_divide(F.col("_b_upto").cast("double"), F.col("_b_all"))
     )
     return along.agg(F.max(gap).alias("statistic"), F.sum("_a").alias("n_first"), F.sum("_b").alias("n_second"))
 

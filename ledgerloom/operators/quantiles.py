@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import value_range
 
-MAX_GROUP_ROWS = 1_000_000
+MAX_GROUP_ROWS = 250_000
 
 
 def _select_ranks(values: DataFrame, keys: list[str], probabilities: Sequence[float], out: str) -> DataFrame:

@@ -27,16 +27,21 @@ def prefix_sums(
     order: Sequence[str],
     values: Sequence[str],
     suffix: str = "_upto",
+    total_suffix: str | None = None,
 ) -> DataFrame:
     """Add ``<value><suffix>``: the sum of a value over all rows of the key up to and including the row.
 
-    Rows are ordered by ``segments`` first and ``order`` inside a segment.
+    Rows are ordered by ``segments`` first and ``order`` inside a segment. ``total_suffix`` also adds
+    the sum over the whole key, which the segment totals give for free.
     """
     keys, segments = list(keys), list(segments)
     totals = rows.groupBy(*keys, *segments).agg(*[F.sum(v).alias(v) for v in values])
     earlier = Window.partitionBy(*keys).orderBy(*segments).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, *segments, *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_{v}_before") for v in values]
+        *keys,
+        *segments,
+        *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_{v}_before") for v in values],
+        *([F.sum(v).over(Window.partitionBy(*keys)).alias(f"{v}{total_suffix}") for v in values] if total_suffix else []),
     )
     inside = (
         Window.partitionBy(*keys, *segments).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -44,6 +49,7 @@ def prefix_sums(
     return rows.join(offsets, [*keys, *segments]).select(
         *rows.columns,
         *[(F.col(f"_{v}_before") + F.sum(v).over(inside)).alias(f"{v}{suffix}") for v in values],
+        *([f"{v}{total_suffix}" for v in values] if total_suffix else []),
     )
 
 
