@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import one_row, value_range
-from ledgerloom.operators.scan import prefix_sums
+from ledgerloom.functions.columns import one_row
+from ledgerloom.operators.scan import value_prefix_sums
 
 
 def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -105,8 +105,7 @@ def score_counts(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()
 
 def roc_auc(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; null if only one class is present."""
-    counted = score_counts(df, label, score, keys).withColumn("_range", value_range("score"))
-    along = prefix_sums(counted, keys, ["_range"], ["score"], ["neg"])
+    along = value_prefix_sums(score_counts(df, label, score, keys), keys, "score", ["neg"])
     pos, neg = F.sum("pos").cast("double"), F.sum("neg").cast("double")
     # Twice the number of (positive, lower negative) pairs, as an exact integer.
     pairs = F.sum(
@@ -122,8 +121,7 @@ def roc_auc(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) ->
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """False and true positive rate at every distinct score, from the highest score down."""
     counted = score_counts(df, label, score).withColumn("_down", -F.col("score"))
-    counted = counted.withColumn("_range", value_range("_down"))
-    along = prefix_sums(counted, [], ["_range"], ["_down"], ["pos", "neg"], total_suffix="_all")
+    along = value_prefix_sums(counted, [], "_down", ["pos", "neg"])
     return along.select(
         F.col("score").alias("threshold"),
         F.try_divide(F.col("neg_upto").cast("double"), F.col("neg_all")).alias("fpr"),

@@ -20,7 +20,7 @@ from ledgerloom.functions.columns import (
     sum_if,
     week_end_sunday,
 )
-from ledgerloom.operators.quantiles import group_stats
+from ledgerloom.operators.quantiles import MAX_COLUMN_ROWS, MAX_GROUP_ROWS, group_stats
 from ledgerloom.sources.schemas import EXCLUDED_CATEGORIES, INCOME_CATEGORIES, INCOME_RECODE
 
 KEY = "consumer_id"
@@ -387,7 +387,8 @@ def describe(df: DataFrame, value: str = "amount", keys: Sequence[str] = ()) ->
     ]
     groups = list(keys) or ["_all"]
     source = df if keys else df.withColumn("_all", F.lit(0))
-    stats = group_stats(source, groups, value, [0.25, 0.5, 0.75], aggregates)
+    limit = MAX_GROUP_ROWS if keys else MAX_COLUMN_ROWS
+    stats = group_stats(source, groups, value, [0.25, 0.5, 0.75], aggregates, max_group_rows=limit)
     return stats.select(
         *keys,
         "count",

@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import hash_number, one_row, value_range
+from ledgerloom.functions.columns import hash_number, one_row
 from ledgerloom.operators.quantiles import column_quantiles, group_stats
-from ledgerloom.operators.scan import prefix_sums
+from ledgerloom.operators.scan import value_prefix_sums
+from ledgerloom.session import checked_broadcast
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -117,9 +118,8 @@ def ks_two_sample(df: DataFrame, value: str, side: str, first: str, second: str)
             F.count_if(F.col(side) == first).alias("_a"),
             F.count_if(F.col(side) == second).alias("_b"),
         )
-        .withColumn("_range", value_range("_v"))
     )
-    along = prefix_sums(counted, [], ["_range"], ["_v"], ["_a", "_b"], total_suffix="_all")
+    along = value_prefix_sums(counted, [], "_v", ["_a", "_b"])
     gap = F.abs(
         F.try_divide(F.col("_a_upto").cast("double"), F.col("_a_all"))
         - F.try_divide(F.col("_b_upto").cast("double"), F.col("_b_all"))
@@ -226,9 +226,10 @@ def trim_global_quantile(df: DataFrame, value: str = "amount", q: float = 0.99,
 
 
 def tail_by_category(df: DataFrame, category: str = "category", value: str = "amount", q: float = 0.98) -> DataFrame:
-    """Rows above their category's quantile. The table of edges has one line per category."""
+    """Rows above their category's quantile. The table of edges (one line per category) is computed at
+    once, to see whether it is small enough to broadcast."""
     edges = group_stats(df, [category], value, [q]).select(category, F.col("quantiles")[0].alias("_edge"))
-    return df.join(edges, category).filter(F.col(value).cast("double") > F.col("_edge")).drop("_edge")
+    return df.join(checked_broadcast(edges), category).filter(F.col(value).cast("double") > F.col("_edge")).drop("_edge")
 
 
 def top_memo_per_category(df: DataFrame, category: str = "category", memo: str = "memo") -> DataFrame:

@@ -1,8 +1,8 @@
 """Exact quantiles (linear interpolation) that hold for groups of any size.
 
-The built-in ``percentile`` keeps all distinct values of a group in one buffer. It is used for groups
-up to a size limit. Larger groups, and quantiles of a whole column, are selected step by step: count
-rows per value, count per value range, find the ranges that hold the wanted ranks, and sort only those.
+Groups up to a size limit are sorted whole, in the shuffle that their other statistics need anyway.
+Larger groups are selected step by step: count rows per value, count per value range, find the ranges
+that hold the wanted ranks, and sort only those.
 """
 
 from __future__ import annotations
@@ -12,30 +12,61 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import value_range
+from ledgerloom.operators.scan import MAX_SEGMENT_ROWS, PIECE, RANGE, with_value_segments
 
-MAX_GROUP_ROWS = 250_000
+MAX_GROUP_ROWS = 1_000_000
+# A whole column is one group, so its sort stays small and everything above goes by ranges.
+MAX_COLUMN_ROWS = 100_000
 
 
-def _select_ranks(values: DataFrame, keys: list[str], probabilities: Sequence[float], out: str) -> DataFrame:
+def _positions(probabilities: Sequence[float]) -> list[Column]:
+    return [(F.col("_n") - 1) * F.lit(float(p)) for p in probabilities]
+
+
+def _interpolated(positions: Sequence[Column], out: str) -> Column:
+    cells = [
+        F.col(f"_lo{i}") + (h - F.floor(h)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}")) for i, h in enumerate(positions)
+    ]
+    return F.array(*cells).alias(out)
+
+
+def _sorted_groups(
+    rows: DataFrame, keys: list[str], probabilities: Sequence[float], aggregates: Sequence[Column], out: str
+) -> DataFrame:
+    """Number the values of each group and pick the wanted ranks while aggregating: one shuffle."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_last())) - 1
+    numbered = rows.withColumn("_n", F.count("_v").over(Window.partitionBy(*keys))).withColumn("_place", place)
+    positions = _positions(probabilities)
+    picks = [F.max("_n").alias("_n")]
+    for i, h in enumerate(positions):
+        picks.append(F.max(F.when(F.col("_place") == F.floor(h), F.col("_v"))).alias(f"_lo{i}"))
+        picks.append(F.max(F.when(F.col("_place") == F.ceil(h), F.col("_v"))).alias(f"_hi{i}"))
+    grouped = numbered.groupBy(*keys).agg(*aggregates, *picks)
+    return grouped.select(*grouped.columns[: len(keys) + len(aggregates)], _interpolated(positions, out))
+
+
+def _select_ranks(
+    values: DataFrame, keys: list[str], probabilities: Sequence[float], out: str, max_rows: int = MAX_SEGMENT_ROWS
+) -> DataFrame:
     """Quantiles of ``_v`` per key by rank selection; ``values`` holds neither null nor NaN."""
-    counted = (
-        values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_range", value_range("_v"))
+    counted = with_value_segments(
+        values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")), keys, "_v", max_rows
     )
-    along = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    segment = [RANGE, PIECE]
+    along = Window.partitionBy(*keys).orderBy(*segment).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy(*keys)
     ranges = (
-        counted.groupBy(*keys, "_range")
+        counted.groupBy(*keys, *segment)
         .agg(F.sum("_c").alias("_rc"))
         .select(
             *keys,
-            "_range",
+            *segment,
             (F.sum("_rc").over(along) - F.col("_rc")).alias("_before"),
             F.sum("_rc").over(along).alias("_end"),
             F.sum("_rc").over(whole).alias("_n"),
         )
     )
-    position = [(F.col("_n") - 1) * F.lit(float(p)) for p in probabilities]
+    position = _positions(probabilities)
     wanted = [rank for h in position for rank in (F.floor(h), F.ceil(h))]
     hit = F.lit(False)
     for rank in wanted:
@@ -43,9 +74,9 @@ def _select_ranks(values: DataFrame, keys: list[str], probabilities: Sequence[fl
     # At most two ranges per key and probability are left, so this side is small enough to broadcast.
     targets = ranges.filter(hit).drop("_end")
     inside = (
-        Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*keys, *segment).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = counted.join(F.broadcast(targets), [*keys, "_range"]).withColumn(
+    ranked = counted.join(F.broadcast(targets), [*keys, *segment]).withColumn(
         "_upto", F.col("_before") + F.sum("_c").over(inside)
     )
 
@@ -56,10 +87,7 @@ def _select_ranks(values: DataFrame, keys: list[str], probabilities: Sequence[fl
     for i, h in enumerate(position):
         picks += [at(F.floor(h)).alias(f"_lo{i}"), at(F.ceil(h)).alias(f"_hi{i}")]
     result = ranked.groupBy(*keys).agg(*picks)
-    cells = [
-        F.col(f"_lo{i}") + (h - F.floor(h)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}")) for i, h in enumerate(position)
-    ]
-    return result.select(*keys, F.array(*cells).alias(out))
+    return result.select(*keys, _interpolated(position, out))
 
 
 def group_stats(
@@ -82,13 +110,11 @@ def group_stats(
     number = value.cast("double")
     clean = df.withColumn("_v", F.when(~F.isnan(number), number))
     present = F.col("_v").isNotNull()
-    probes = F.array(*[F.lit(float(p)) for p in probabilities])
-
     large = clean.groupBy(*keys).agg(F.count("_v").alias("_n")).filter(F.col("_n") > max_group_rows).select(*keys)
     small_rows = clean.join(F.broadcast(large), keys, "left_anti")
     large_rows = clean.join(F.broadcast(large), keys, "left_semi")
-    small = small_rows.groupBy(*keys).agg(*aggregates, F.percentile("_v", probes).alias(out))
-    picked = _select_ranks(large_rows.filter(present).select(*keys, "_v"), keys, probabilities, out)
+    small = _sorted_groups(small_rows, keys, probabilities, aggregates, out)
+    picked = _select_ranks(large_rows.filter(present).select(*keys, "_v"), keys, probabilities, out, max_group_rows)
     if aggregates:
         picked = large_rows.groupBy(*keys).agg(*aggregates).join(picked, keys, "left")
     return small.unionByName(picked)
@@ -99,7 +125,7 @@ def column_quantiles(
     value: Column | str,
     probabilities: Sequence[float],
     out: str = "quantiles",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int = MAX_COLUMN_ROWS,
 ) -> DataFrame:
     """One row with the exact quantiles of a whole column (no row if the table is empty)."""
     value = F.col(value) if isinstance(value, str) else value

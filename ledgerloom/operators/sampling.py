@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import hash_number, one_row
+from ledgerloom.session import checked_broadcast
 
 
 def hash_sample(df: DataFrame, key: str, percent: int) -> DataFrame:
@@ -24,7 +25,7 @@ def take_by_hash(df: DataFrame, group: str, key: str, quota: Column, flag: str =
 
     ``quota`` may use ``_n`` (rows of the group) and ``_least`` (rows of the smallest group). Instead of
     sorting whole groups, rows are counted in 65,536 hash buckets; only the one bucket per group in which
-    the quota ends is sorted.
+    the quota ends is sorted. The cuts (one line per group) are computed at once.
     """
     hashed = df.withColumn("_hash", hash_number(key)).withColumn("_bucket", F.expr("_hash div 65536"))
     buckets = hashed.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
@@ -46,8 +47,7 @@ def take_by_hash(df: DataFrame, group: str, key: str, quota: Column, flag: str =
         .agg(F.min(edge).alias("_edge"))
         .select(group, F.col("_edge._bucket").alias("_cut"), F.col("_edge.rest").alias("_rest"))
     )
-    # One line per class.
-    marked = hashed.join(F.broadcast(cuts), group)
+    marked = hashed.join(checked_broadcast(cuts), group)
     sure = marked.filter(F.col("_bucket") != F.col("_cut")).withColumn(flag, F.col("_bucket") < F.col("_cut"))
     place = F.row_number().over(Window.partitionBy(group, "_bucket").orderBy("_hash", key))
     close = marked.filter(F.col("_bucket") == F.col("_cut")).withColumn(flag, place <= F.col("_rest"))
@@ -86,8 +86,7 @@ def positive_weight(df: DataFrame, label: str, over: str = "negatives") -> DataF
 
 def with_class_weight(df: DataFrame, label: str, out: str = "class_weight") -> DataFrame:
     weights = class_weights(df, label).select(label, F.col("weight").alias(out))
-    # One line per class.
-    return df.join(F.broadcast(weights), label)
+    return df.join(checked_broadcast(weights), label)
 
 
 def keep_keys(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

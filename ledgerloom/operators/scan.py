@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions.columns import value_range
+
 PIECE = "_piece"
 
 # A (key, day) group above this many rows is cut further, by ranges of its tie-break.
@@ -55,31 +57,58 @@ def prefix_sums(
 
 def _position(df: DataFrame, tie: str) -> Column:
     """A number to cut a day at. Text ids are ordered by their hash: any fixed unique order will do."""
-    if isinstance(df.schema[tie].dataType, T.IntegralType):
-        return F.col(tie).cast("bigint")
+    if isinstance(df.schema[tie].dataType, T.NumericType):
+        return F.col(tie)
     return F.shiftright(F.xxhash64(F.col(tie).cast("string")), 1)
 
 
-def with_day_pieces(
-    rows: DataFrame, keys: Sequence[str], day: str, tie: str, max_rows: int = MAX_SEGMENT_ROWS
+def with_pieces(
+    rows: DataFrame, groups: Sequence[str], position: Column, max_rows: int = MAX_SEGMENT_ROWS
 ) -> DataFrame:
-    """Number the pieces of each (key, day): 0 for a normal day, ranges of the tie-break for a hot one.
+    """Number the pieces of each group: 0 for a normal group, ranges of ``position`` for a large one.
 
-    The table of hot days has at most (rows / max_rows) lines, which bounds the broadcast; adaptive
+    The table of large groups has at most (rows / max_rows) lines, which bounds the broadcast; adaptive
     execution drops the join when there are none.
     """
-    keys = list(keys)
-    position = _position(rows, tie)
-    hot = (
-        rows.groupBy(*keys, day)
+    groups = list(groups)
+    count = F.floor(F.col("_n") / max_rows) + 1
+    spread = F.col("_high").cast("double") - F.col("_low").cast("double")
+    large = (
+        rows.groupBy(*groups)
         .agg(F.count(F.lit(1)).alias("_n"), F.min(position).alias("_low"), F.max(position).alias("_high"))
         .filter(F.col("_n") > max_rows)
-        .select(
-            *keys, day, "_low", F.expr(f"(_high - _low) div (_n div {int(max_rows)} + 1) + 1").alias("_width")
-        )
+        .select(*groups, "_low", F.try_divide(spread, count).alias("_width"))
     )
-    piece = F.coalesce(F.floor((position - F.col("_low")) / F.col("_width")).cast("bigint"), F.lit(0).cast("bigint"))
-    return rows.join(F.broadcast(hot), [*keys, day], "left").select(*rows.columns, piece.alias(PIECE))
+    # A larger position never gives a smaller quotient, so the pieces follow the order of the rows.
+    offset = position.cast("double") - F.col("_low").cast("double")
+    piece = F.coalesce(F.floor(F.try_divide(offset, F.col("_width"))).cast("bigint"), F.lit(0).cast("bigint"))
+    return rows.join(F.broadcast(large), groups, "left").select(*rows.columns, piece.alias(PIECE))
+
+
+def with_day_pieces(
+    rows: DataFrame, keys: Sequence[str], day: str, tie: str, max_rows: int = MAX_SEGMENT_ROWS
+) -> DataFrame:
+    """Hot days cut at ranges of the tie-break."""
+    return with_pieces(rows, [*keys, day], _position(rows, tie), max_rows)
+
+
+RANGE = "_range"
+
+
+def with_value_segments(
+    counted: DataFrame, keys: Sequence[str], value: str, max_rows: int = MAX_SEGMENT_ROWS
+) -> DataFrame:
+    """Segments along a double: its value range, and pieces of a range that holds many values."""
+    ranged = counted.withColumn(RANGE, value_range(value))
+    return with_pieces(ranged, [*keys, RANGE], F.col(value), max_rows)
+
+
+def value_prefix_sums(
+    counted: DataFrame, keys: Sequence[str], value: str, values: Sequence[str], max_rows: int = MAX_SEGMENT_ROWS
+) -> DataFrame:
+    """Cumulative (``_upto``) and whole (``_all``) sums along a double, one row per key and distinct value."""
+    segments = with_value_segments(counted, keys, value, max_rows)
+    return prefix_sums(segments, keys, [RANGE, PIECE], [value], values, total_suffix="_all").drop(RANGE, PIECE)
 
 
 def tie_order(df: DataFrame, tie: str) -> list[Column]:

@@ -108,11 +108,20 @@ def union_flows(inflows: DataFrame, outflows: DataFrame) -> DataFrame:
     return inflows.select("memo", "category").unionByName(outflows.select("memo", "category"))
 
 
+def _words(text: str) -> Column:
+    return F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), F.lit(0))
+
+
 def term_counts(docs: DataFrame, doc_id: str = "id", text: str = "memo") -> DataFrame:
-    """Occurrences of each lower-case word per document; the whole text is read."""
-    words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), F.lit(0))
+    """Occurrences of each lower-case word per document; the whole text is read.
+
+    Documents are spread by id before they are split into words: texts are smaller than word rows, and
+    all later work per document stays in place.
+    """
     return (
-        docs.select(doc_id, F.explode(words).alias("term"))
+        docs.select(doc_id, text)
+        .repartition(doc_id)
+        .select(doc_id, F.explode(_words(text)).alias("term"))
         .groupBy(doc_id, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -120,7 +129,6 @@ def term_counts(docs: DataFrame, doc_id: str = "id", text: str = "memo") -> Data
 
 def vocabulary(
     docs: DataFrame,
-    doc_id: str = "id",
     text: str = "memo",
     min_df: int = 5,
     max_df: float = 0.95,
@@ -131,10 +139,15 @@ def vocabulary(
     Smoothed idf = ln((1 + documents) / (1 + df)) + 1. At most ``max_terms`` rows; ties by the word.
     """
     total = one_row(docs, F.count(F.lit(1)).alias("n")).getField("n")
+    # A document adds each word once to df and each occurrence to frequency; both are combined on the
+    # map side, so only the list of words is shuffled.
+    words = docs.select(_words(text).alias("_words"))
+    once = F.transform(F.array_distinct("_words"), lambda w: F.struct(w.alias("term"), F.lit(1).alias("d"), F.lit(0).alias("f")))
+    each = F.transform("_words", lambda w: F.struct(w.alias("term"), F.lit(0).alias("d"), F.lit(1).alias("f")))
     per_term = (
-        term_counts(docs, doc_id, text)
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("frequency"))
+        words.select(F.explode(F.concat(once, each)).alias("_w"))
+        .groupBy("_w.term")
+        .agg(F.sum("_w.d").alias("df"), F.sum("_w.f").alias("frequency"))
     )
     return (
         per_term.filter((F.col("df") >= min_df) & (F.col("df") <= total * F.lit(max_df)))

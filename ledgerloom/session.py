@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "ledgerloom") -> SparkSession:
@@ -57,3 +58,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+# Lines up to which a lookup table is sent to every executor.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def checked_broadcast(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Compute a narrow lookup table now and broadcast it only if it is small; otherwise the join shuffles,
+    with adaptive skew handling."""
+    done = cut_lineage(lookup)
+    return F.broadcast(done) if done.count() <= max_rows else done
