@@ -139,16 +139,15 @@ def vocabulary(
     Smoothed idf = ln((1 + documents) / (1 + df)) + 1. At most ``max_terms`` rows; ties by the word.
     """
     total = one_row(docs, F.count(F.lit(1)).alias("n")).getField("n")
-    # A document adds each word once to df and each occurrence to frequency; both are combined on the
-    # map side, so only the list of words is shuffled.
-    words = docs.select(_words(text).alias("_words"))
-    once = F.transform(F.array_distinct("_words"), lambda w: F.struct(w.alias("term"), F.lit(1).alias("d"), F.lit(0).alias("f")))
-    each = F.transform("_words", lambda w: F.struct(w.alias("term"), F.lit(0).alias("d"), F.lit(1).alias("f")))
-    per_term = (
-        words.select(F.explode(F.concat(once, each)).alias("_w"))
-        .groupBy("_w.term")
-        .agg(F.sum("_w.d").alias("df"), F.sum("_w.f").alias("frequency"))
+    # Every document is one row, so its distinct words are found in the row. Both counts are combined on
+    # the map side, so only the list of words is shuffled, never the texts.
+    frequency = docs.select(F.explode(_words(text)).alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("frequency")
     )
+    in_documents = docs.select(F.explode(F.array_distinct(_words(text))).alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("df")
+    )
+    per_term = in_documents.join(frequency, "term")
     return (
         per_term.filter((F.col("df") >= min_df) & (F.col("df") <= total * F.lit(max_df)))
         .orderBy(F.desc("frequency"), "term")
