@@ -23,7 +23,6 @@ def memo_sides(spark, sf_dir):
 
 def memo_report(spark, sf_dir, classifier, bigrams=False, max_terms=2000):
     train, test = memo_sides(spark, sf_dir)
-    train = cut_lineage(train)
     features = memo.bigram_features() if bigrams else memo.fit_tfidf(train, max_terms=max_terms)
     report = memo.train(train, classifier, features).report(test)
     return report.select("label", rnd("precision"), rnd("recall"), rnd("f1_score"), "support")
@@ -57,7 +56,6 @@ def memo_bigram_linear(spark, sf_dir):
 @query("memo_predictions")
 def memo_predictions(spark, sf_dir):
     train, test = memo_sides(spark, sf_dir)
-    train = cut_lineage(train)
     model = memo.train(train, memo.logistic(20), memo.fit_tfidf(train, max_terms=2000))
     return model.predict(test).select("id", "category", "predicted", rnd("confidence"), "class_probabilities")
 

@@ -25,7 +25,8 @@ def take_by_hash(df: DataFrame, group: str, key: str, quota: Column, flag: str =
 
     ``quota`` may use ``_n`` (rows of the group) and ``_least`` (rows of the smallest group). Instead of
     sorting whole groups, rows are counted in 65,536 hash buckets; only the one bucket per group in which
-    the quota ends is sorted. The cuts (one line per group) are computed at once.
+    the quota ends is sorted, to find the last row to take. That is computed at once (one line per
+    group); the result itself is then a filter on the row's own hash, without a shuffle.
     """
     hashed = df.withColumn("_hash", hash_number(key)).withColumn("_bucket", F.expr("_hash div 65536"))
     buckets = hashed.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
@@ -45,14 +46,21 @@ def take_by_hash(df: DataFrame, group: str, key: str, quota: Column, flag: str =
         limited.filter(F.col("_upto") >= F.col("_quota"))
         .groupBy(group)
         .agg(F.min(edge).alias("_edge"))
-        .select(group, F.col("_edge._bucket").alias("_cut"), F.col("_edge.rest").alias("_rest"))
+        .select(group, F.col("_edge._bucket").alias("_bucket"), F.col("_edge.rest").alias("_rest"))
     )
-    marked = hashed.join(checked_broadcast(cuts), group)
-    sure = marked.filter(F.col("_bucket") != F.col("_cut")).withColumn(flag, F.col("_bucket") < F.col("_cut"))
-    place = F.row_number().over(Window.partitionBy(group, "_bucket").orderBy("_hash", key))
-    close = marked.filter(F.col("_bucket") == F.col("_cut")).withColumn(flag, place <= F.col("_rest"))
-    columns = [*df.columns, flag]
-    return sure.select(*columns).unionByName(close.select(*columns))
+    # The last row to take, per group: found among the rows of one bucket.
+    place = F.row_number().over(Window.partitionBy(group).orderBy("_hash", key))
+    last = (
+        hashed.select(group, "_bucket", "_hash", key)
+        .join(checked_broadcast(cuts), [group, "_bucket"])
+        .withColumn("_place", place)
+        .filter(F.col("_place") == F.col("_rest"))
+        .select(group, F.col("_hash").alias("_last_hash"), F.col(key).alias("_last_key"))
+    )
+    own = hash_number(key)
+    taken = (own < F.col("_last_hash")) | ((own == F.col("_last_hash")) & (F.col(key) <= F.col("_last_key")))
+    marked = df.join(checked_broadcast(last), group, "left")
+    return marked.select(*df.columns, F.coalesce(taken, F.lit(False)).alias(flag))
 
 
 def split_stratified(df: DataFrame, label: str, key: str, train_percent: int = 80) -> DataFrame:

@@ -110,3 +110,26 @@ def test_cleaning_runs_on_a_stream(spark, tmp_path):
 def test_label_index_is_sorted(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), (None,), ("c",)], "category string")
     assert {r["category"]: r["label_index"] for r in text.label_index(df).collect()} == {"a": 0, "b": 1, "c": 2}
+
+
+def test_bundle_renames_casts_and_signs(spark, tmp_path):
+    def write(name, sql):
+        path = str(tmp_path / name)
+        spark.sql(sql).write.parquet(path)
+        return path
+
+    categories = str(tmp_path / "cats")
+    tables.write_csv(spark.sql("select 1 category_id, 'A,B' category"), categories)
+    bundle = tables.load_bundle(
+        spark,
+        categories,
+        write("consumers", "select 7 id, '2024-01-31' evaluation_date, 700 credit_score, cast(null as double) DQ"),
+        write("accounts", "select 7 id, 'x' account_type, 'bad' balance_date, '12.345' balance"),
+        write("txns", "select 7 id, 1 category_id, 5.0 amount, 'CREDIT' credit_or_debit, '2024-01-01' posted_date"),
+        columns={"id": "consumer_id", "DQ": "dq_target"},
+    )
+    assert bundle.categories.first()["category"] == "A,B"
+    assert bundle.consumers.first()["consumer_id"] == "7"
+    account = bundle.accounts.first()
+    assert account["balance_date"] is None and float(account["balance"]) == 12.35
+    assert float(bundle.transactions.first()["amount"]) == -5.0
