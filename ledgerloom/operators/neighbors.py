@@ -62,13 +62,51 @@ def nearest(
     points: DataFrame, k: int, key: str = "id", vector: str = "v", block_rows: int = BLOCK_ROWS,
     max_pivots: int = MAX_PIVOTS,
 ) -> DataFrame:
-    """(id, neighbor_id, rank, distance) of the k nearest other points, Euclidean, exact.
+    """(id, neighbor_id, rank, distance) of the k nearest other points, Euclidean, exact; ties by id.
 
-    ``key`` is unique. The driver only sees the pivots and one line of counts per cell. The
-    partitioned points are checkpointed, because both sides of the search read them.
+    ``key`` is unique. Equal points are searched once, so a group of copies of any size costs one search:
+    no point needs more than the k + 1 smallest ids of a group.
     """
-    spark = points.sparkSession
     base = points.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    place = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    groups = cut_lineage(
+        base.withColumn("_place", place)
+        .filter(F.col("_place") <= k + 1)
+        .groupBy("v")
+        .agg(F.array_sort(F.collect_list("id")).alias("copies"))
+        .select(F.col("copies")[0].alias("id"), "v", "copies")
+    )
+    found = _nearest_distinct(groups.select("id", "v"), k, block_rows, max_pivots)
+    others = found.select("id", "neighbor_id", "distance").join(
+        groups.select(F.col("id").alias("neighbor_id"), "copies"), "neighbor_id"
+    )
+    entries = others.select("id", "distance", F.explode("copies").alias("neighbor_id")).unionByName(
+        groups.select("id", F.lit(0.0).alias("distance"), F.explode("copies").alias("neighbor_id"))
+    )
+    best = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbor_id"))
+    lists = (
+        entries.withColumn("_place", best)
+        .filter(F.col("_place") <= k + 1)
+        .groupBy("id")
+        .agg(F.array_sort(F.collect_list(F.struct("distance", "neighbor_id"))).alias("near"))
+    )
+    by_point = groups.select("id", "v").join(lists, "id").select("v", "near")
+    # A large group of copies makes this join skewed; adaptive execution splits the side of the points.
+    return (
+        base.join(by_point, "v")
+        .select("id", F.expr(f"slice(filter(near, e -> e.neighbor_id != id), 1, {int(k)})").alias("near"))
+        .select("id", F.posexplode("near").alias("_p", "_e"))
+        .select("id", "_e.neighbor_id", (F.col("_p") + 1).alias("rank"), "_e.distance")
+    )
+
+
+def _nearest_distinct(base: DataFrame, k: int, block_rows: int, max_pivots: int) -> DataFrame:
+    """The search among distinct points (id, v).
+
+    The driver only sees the pivots and one line of counts per cell. The partitioned points are
+    checkpointed, because both sides of the search read them.
+    """
+    spark = base.sparkSession
     id_type = base.schema["id"].dataType.simpleString()
     chosen = base.orderBy(hash_number("id"), "id").limit(max_pivots).collect()
     if not chosen:

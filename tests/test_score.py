@@ -14,13 +14,15 @@ def brute_force(ids, matrix, k):
     return out
 
 
-@pytest.mark.parametrize("shape", ["clusters", "uniform", "copies"])
+@pytest.mark.parametrize("shape", ["clusters", "uniform", "copies", "one_hot_group"])
 def test_nearest_is_exact(spark, shape):
     rng = np.random.default_rng(5)
     if shape == "clusters":
         matrix = np.concatenate([rng.normal(c, 0.1, (60, 4)) for c in (0, 5, 50, -20)])
     elif shape == "uniform":
         matrix = rng.uniform(-1, 1, (200, 6))
+    elif shape == "one_hot_group":
+        matrix = np.concatenate([np.zeros((150, 3)), rng.normal(0, 1, (60, 3))])
     else:
         matrix = np.repeat(rng.integers(0, 3, (20, 2)).astype(float), 10, axis=0)
     ids = list(range(len(matrix)))
