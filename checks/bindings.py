@@ -114,20 +114,22 @@ EVTXN = """evtxn AS (
 
 
 def evtxn_3d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First event per user, type and day on every third day: a cadence with regular gaps."""
-    days = evtxn(spark, sf_dir).filter(F.day("posted_date") % 3 == 0)
+    """First event per user, type and slot of three days, dated by the slot: a cadence with regular gaps."""
+    slot = F.expr("date_add(date'2024-01-01', cast(floor(datediff(posted_date, date'2024-01-01') / 3) * 3 as int))")
     first = F.min(F.struct("txn_id", "amount", "credit_or_debit")).alias("_first")
     return (
-        days.groupBy("consumer_id", "category", "posted_date")
+        evtxn(spark, sf_dir)
+        .groupBy("consumer_id", "category", slot.alias("posted_date"))
         .agg(first)
         .select("consumer_id", "category", "posted_date", "_first.txn_id", "_first.amount", "_first.credit_or_debit")
     )
 
 
 EVTXN_3D = """evtxn_3d AS (
-  SELECT consumer_id, category, posted_date, txn_id, amount, credit_or_debit FROM (
-    SELECT *, row_number() OVER (PARTITION BY consumer_id, category, posted_date ORDER BY txn_id) AS rn
-    FROM evtxn WHERE day(posted_date) % 3 = 0) WHERE rn = 1)"""
+  SELECT consumer_id, category, slot AS posted_date, txn_id, amount, credit_or_debit FROM (
+    SELECT *, row_number() OVER (PARTITION BY consumer_id, category, slot ORDER BY txn_id) AS rn FROM (
+      SELECT *, CAST(DATE '2024-01-01' + CAST(floor((posted_date - DATE '2024-01-01') / 3) * 3 AS INTEGER) AS DATE) AS slot
+      FROM evtxn)) WHERE rn = 1)"""
 
 
 def ltxn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,8 +32,12 @@ def _sorted_groups(
     rows: DataFrame, keys: list[str], probabilities: Sequence[float], aggregates: Sequence[Column], out: str
 ) -> DataFrame:
     """Number the values of each group and pick the wanted ranks while aggregating: one shuffle."""
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_last())) - 1
-    numbered = rows.withColumn("_n", F.count("_v").over(Window.partitionBy(*keys))).withColumn("_place", place)
+    sort = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_last())
+    whole = sort.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # Both windows share the order, so they share one sort.
+    numbered = rows.select(
+        "*", F.count("_v").over(whole).alias("_n"), (F.row_number().over(sort) - 1).alias("_place")
+    )
     positions = _positions(probabilities)
     picks = [F.max("_n").alias("_n")]
     for i, h in enumerate(positions):
