@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, quality, url_filters
+from ledgerloom.llm import fingerprints, mixing, near_dedup, quality, suffix_dedup, url_filters
 from ledgerloom.llm.byte_bpe import encode_texts
 from ledgerloom.llm.common import table
 from ledgerloom.llm.token_counts import token_counts
@@ -58,3 +58,19 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_url_filters", url_filters.ORACLE)
 def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op10_fingerprints")
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_and_fingerprint(table(spark, sf_dir, "documents"))
+
+
+@query("op3_suffix_dedup")
+def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op6_near_duplicates", near_dedup.ORACLE)
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
