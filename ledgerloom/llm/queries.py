@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import fingerprints, mixing, near_dedup, quality, suffix_dedup, url_filters
+from ledgerloom.llm import fingerprints, html_extract, mixing, near_dedup, quality, suffix_dedup, url_filters, warc
 from ledgerloom.llm.byte_bpe import encode_texts
 from ledgerloom.llm.common import table
 from ledgerloom.llm.token_counts import token_counts
+from ledgerloom.session import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,3 +75,16 @@ def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_near_duplicates", near_dedup.ORACLE)
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_warc", warc.ORACLE)
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    read = warc.read_warc(spark, folder, payloads=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op2_html_text")
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
