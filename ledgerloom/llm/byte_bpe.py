@@ -12,6 +12,7 @@ from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType
 
 from ledgerloom.llm.common import worker_memory
 
@@ -187,7 +188,7 @@ def encode_texts(
     schema = docs.select(id_column).schema.add("n_tokens", "long", False).add("ids_sha256", "string", False)
     schema = schema.add("decoded_sha256", "string", False)
     if keep_ids:
-        schema = schema.add("ids", "array<int>", False)
+        schema = schema.add("ids", ArrayType(IntegerType(), False), False)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = worker_memory().get((path, pattern))
