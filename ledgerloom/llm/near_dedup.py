@@ -101,24 +101,30 @@ def _best(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("part_a", "part_b").agg(best).select("x.a", "x.b")
 
 
-def near_links(tokens: DataFrame, sets: DataFrame, rounds: int = 3) -> DataFrame:
+def _possible(n_a: str, c_a: str, n_b: str, c_b: str):
+    """Whether two sets can be similar at all: what they share is at most what either shares with any other set."""
+    most = F.least(c_a, c_b)
+    return most * 175 >= (F.col(n_a) + F.col(n_b)) * 75
+
+
+def near_links(tokens: DataFrame, sets: DataFrame, rounds: int = 2) -> DataFrame:
     """Links ``(a, b)`` between similar representatives that connect all components of the similarity graph.
 
-    ``tokens(rep, n, tokens array<long>)`` are the shared coordinate values of a signature, rarest first. By the prefix
-    principle a pair that shares MATCHES of them meets under one of the first size - MATCHES + 1 of each, so only
-    these are posted. The first rounds pair one document of each component under a value with the least one there, so
-    a value that m documents share makes m - 1 pairs; confirmed links contract the components. The last round, repeated
-    until it finds nothing, looks at every pair of a value that still lies in different components.
+    ``tokens(rep, n, c, tokens array<long>)``: the size of a set, how many of its shingles occur in another set, and
+    the shared coordinate values of its signature, rarest first. By the prefix principle a pair that shares MATCHES of
+    them meets under one of the first size - MATCHES + 1 of each, so only these are posted. The first rounds pair one
+    document of each component under a value with the least one there, so a value that m documents share makes m - 1
+    pairs; confirmed links contract the components. The last round looks at the documents that still meet one of another
+    component under a value; of their pairs, those that also meet under a rare shingle.
     """
     spark = tokens.sparkSession
-    posts = tokens.select("rep", F.explode(F.slice("tokens", 1, F.size("tokens") - F.lit(MATCHES - 1))).alias("token"))
+    posts = tokens.select("rep", "n", "c", F.explode(F.slice("tokens", 1, F.size("tokens") - F.lit(MATCHES - 1))).alias("token"))
     posts = staged(posts, "posts")
     parts = tokens.select("rep", F.col("rep").alias("part"))
     links = spark.createDataFrame([], "a long, b long")
-    tried = spark.createDataFrame([], "a long, b long")
 
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs that share enough coordinates and whose full sets are similar."""
+        """Pairs whose full sets are similar."""
         side = {x: sets.select(F.col("rep").alias(f"_{x}"), F.col("shingles").alias(f"set_{x}")) for x in "ab"}
         full = pairs.join(side["a"], F.col("a") == F.col("_a")).join(side["b"], F.col("b") == F.col("_b"))
         common = F.size(F.array_intersect("set_a", "set_b"))
@@ -127,48 +133,58 @@ def near_links(tokens: DataFrame, sets: DataFrame, rounds: int = 3) -> DataFrame
 
     def matched(pairs: DataFrame) -> DataFrame:
         """Counts collisions: pairs with the number of coordinates they share, if enough."""
-        side = {x: tokens.select(F.col("rep").alias(f"_{x}"), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"t_{x}")) for x in "ab"}
+        side = {x: tokens.select(F.col("rep").alias(f"_{x}"), F.col("tokens").alias(f"t_{x}")) for x in "ab"}
         full = pairs.join(side["a"], F.col("a") == F.col("_a")).join(side["b"], F.col("b") == F.col("_b"))
-        sized = full.filter((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * 75))
         shared = F.size(F.array_intersect("t_a", "t_b"))
-        return sized.select(*pairs.columns, shared.alias("shared")).filter(F.col("shared") >= MATCHES)
+        return full.select(*pairs.columns, shared.alias("shared")).filter(F.col("shared") >= MATCHES)
 
     for turn in range(rounds):
         placed = posts.join(parts, "rep")
-        heads = placed.groupBy("token", "part").agg(F.min("rep").alias("b"))
-        # Another document of the value stands in each round, so that one odd document does not part a group.
-        order = F.struct(F.xxhash64("b", F.lit(turn)), "b", "part") if turn else F.struct(F.lit(0).cast("long"), "b", "part")
-        leaders = heads.groupBy("token").agg(F.min(order).alias("x"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-        pairs = heads.join(leaders, "token").select(
-            F.col("x.b").alias("a"), "b", F.col("x.part").alias("part_a"), F.col("part").alias("part_b")
-        )
-        pairs = pairs.filter("part_a <> part_b").distinct()
-        found = confirm(staged(_best(matched(pairs)), f"pairs{turn}"), f"links{turn}")
+        heads = placed.groupBy("token", "part").agg(F.min(F.struct(F.col("rep").alias("b"), "n", "c")).alias("h")).select("token", "part", "h.*")
+        # Another document of the value leads in each round, so that one odd document does not part a group.
+        order = F.xxhash64("b", F.lit(turn)) if turn else F.col("b")
+        leader = F.min(F.struct(order.alias("o"), F.col("b").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.col("c").alias("c_a")))
+        leaders = heads.groupBy("token").agg(leader.alias("x"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+        pairs = heads.join(leaders.select("token", "x.*"), "token").withColumnRenamed("part", "part_b")
+        pairs = pairs.filter((F.col("part_a") != F.col("part_b")) & _possible("n_a", "c_a", "n", "c"))
+        pairs = matched(pairs.select("a", "b", "part_a", "part_b").distinct())
+        found = confirm(staged(_best(pairs), f"pairs{turn}"), f"links{turn}")
         if found.isEmpty():
             break
         links = staged(links.union(found), f"all{turn}")
         parts = staged(_parts(tokens.select("rep"), links), f"parts{turn}")
-    turn = 0
-    while True:
-        placed = posts.join(parts, "rep")
-        mixed_tokens = placed.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("token")
-        left = staged(placed.join(mixed_tokens, "token", "left_semi"), f"open{turn}")
-        if left.isEmpty():
-            break
-        one = left.select("token", F.col("rep").alias("a"), F.col("part").alias("part_a"))
-        two = left.select("token", F.col("rep").alias("b"), F.col("part").alias("part_b"))
-        pairs = one.join(two, "token").filter("a < b and part_a <> part_b").select("a", "b").distinct()
-        if turn:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = staged(matched(pairs).select("a", "b"), f"rest{turn}")
-        found = confirm(pairs, f"more{turn}")
-        if found.isEmpty():
-            break
-        tried = staged(tried.union(pairs), f"tried{turn}")
-        links = staged(links.union(found), f"with{turn}")
-        parts = staged(_parts(tokens.select("rep"), links), f"last{turn}")
-        turn += 1
-    return links
+    placed = staged(posts.join(parts, "rep"), "placed")
+    least = placed.groupBy("token").agg(F.min("n").alias("n_least"))
+    # A partner has at least three quarters of the size, and no less than the least size of the value.
+    partner = F.greatest(F.col("n_least") * 100, F.col("n") * 75)
+    able = staged(placed.join(least, "token").filter(F.col("c") * 17500 >= (F.col("n") * 100 + partner) * 75).drop("n_least"), "able")
+    several = able.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("token")
+    left = able.join(several, "token", "left_semi").select("rep", "part").distinct()
+    pairs = matched(_rare_pairs(left.join(sets, "rep")))
+    return links.union(confirm(staged(pairs.select("a", "b"), "rest"), "more"))
+
+
+def _rare_pairs(docs: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of ``docs(rep, part, shingles)`` in different parts that can still be similar.
+
+    Here the long lists are skipped: with shingles in one order, rarest first, the first one that two similar sets
+    share lies in the first size - 0.75 size + 1 of each, and what follows it must be long enough for the rest of the
+    overlap. Documents of one family differ in their rarest shingles, so that few of their pairs meet.
+    """
+    n = F.size("shingles")
+    items = docs.select("rep", "part", n.alias("n"), F.explode("shingles").alias("s"))
+    ranks = items.groupBy("s").agg(F.count(F.lit(1)).alias("k"))
+    sets = items.join(ranks, "s").groupBy("rep", "part", "n").agg(F.array_sort(F.collect_list(F.struct("k", "s"))).alias("x"))
+    front = F.slice("x", 1, F.col("n") - F.ceil(F.col("n") * 75 / 100).cast("int") + 1)
+    posts = sets.select("rep", "part", "n", F.posexplode(front).alias("i", "x")).filter("x.k > 1")
+    posts = staged(posts.select("rep", "part", "n", "i", F.col("x.s").alias("s")), "rare")
+    several = posts.groupBy("s").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("s")
+    posts = posts.join(several, "s", "left_semi")
+    side = {d: posts.select("s", *[F.col(c).alias(f"{c}_{d}") for c in ("rep", "part", "n", "i")]) for d in "ab"}
+    rest = F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b"))
+    meet = (side["a"]["s"] == side["b"]["s"]) & (F.col("rep_a") < F.col("rep_b")) & (F.col("part_a") != F.col("part_b"))
+    met = side["a"].join(side["b"], meet & (rest * 175 >= (F.col("n_a") + F.col("n_b")) * 75))
+    return met.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
 def _parts(reps: DataFrame, links: DataFrame) -> DataFrame:
@@ -204,7 +220,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tokens = staged(enough.join(sizes, "rep").select("rep", "n", "tokens"), "tokens")
     wanted = tokens.select(F.col("rep").alias("doc_id"))
     sets = own.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "rep long, shingles array<long>")
-    links = near_links(tokens, staged(sets, "sets"))
+    sets = staged(sets.distinct(), "sets")
+    alone = sets.select("rep", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("rep").alias("rep"), F.count(F.lit(1)).alias("k"))
+    alone = alone.filter("k = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("alone"))
+    tokens = tokens.join(alone, "rep", "left").withColumn("c", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+    tokens = staged(tokens.filter(F.col("c") * 100 >= F.col("n") * 75), "able-tokens")
+    links = near_links(tokens, sets)
     again = named.select("doc_id", "set_key").join(reps, "set_key").filter("doc_id <> rep").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b")
     )
