@@ -67,7 +67,7 @@ def _bid(r: Column, c: Column, b: Column, log_weight: Column, seed: Column) -> C
 
 
 def fingerprints(rows: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
-    """``keys`` and ``fingerprint array<long>`` of ``samples`` winning bids; null if the text has no term. Rows with
+    """``keys`` and ``fingerprint array<int>``, what the ``samples`` winning bids stand for; null if the text has no term. Rows with
     equal keys count once and must have equal texts. If the rows are already distributed by some of the keys, nothing
     is shuffled."""
     bids = rows.select(*keys, F.explode_outer(weighted_terms(F.coalesce(F.col(text), F.lit("")))).alias("t"))
@@ -75,7 +75,8 @@ def fingerprints(rows: DataFrame, keys: list[str], text: str, samples: int = SAM
     least = bids.groupBy(*keys).agg(
         *[F.min(sample(F.col("term"), F.col("log_weight"), k)).alias(f"_s{k}") for k in range(samples)]
     )
-    values = F.transform(F.array(*[F.col(f"_s{k}") for k in range(samples)]), lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)))
+    signed = lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int")  # noqa: E731  the lower 32 bits
+    values = F.array(*[signed(F.col(f"_s{k}")) for k in range(samples)])
     return least.select(*keys, F.when(F.col("_s0").isNotNull(), values).alias("fingerprint"))
 
 
@@ -89,7 +90,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 def as_text(fingerprint: Column) -> Column:
     return F.coalesce(
-        F.array_join(F.transform(fingerprint, lambda x: F.lpad(F.hex(x), 8, "0")), ""), F.lit("")
+        F.array_join(F.transform(fingerprint, lambda x: F.lpad(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), ""), F.lit("")
     )
 
 
@@ -104,49 +105,45 @@ def edit_and_fingerprint(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     with equal doc_id and text give one row; different texts under one doc_id are separate documents, ordered by a
     hash; a null doc_id comes last. A table of one document is its own next; an empty table gives an empty result.
     """
-    base = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    key = ["d", "z", "h"]  # equal for equal documents, and never null, so that one shuffle serves all steps below
+    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
+    base = docs.select(F.coalesce(F.col("doc_id"), F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("z"), text)
     base = base.withColumn("h", F.xxhash64("text"))
-    ids = base.select("doc_id", "h", F.length("text").alias("n")).distinct()
-    ranked = staged(prefix_sums(ids, [], ["doc_id", "h"]).withColumnRenamed("before_rows", "place"), "places")
+    ids = base.select(*key, F.length("text").alias("n")).distinct()
+    ranked = staged(prefix_sums(ids, [], ["z", "d", "h"]).withColumnRenamed("before_rows", "place"), "places")
     total = ranked.count()
+    to = {c: f"to_{c}" for c in key}
     previous = ranked.select(
-        F.col("doc_id").alias("to_id"), F.col("h").alias("to_h"), F.floor(F.col("n") / 2).cast("int").alias("wanted"),
+        *[F.col(c).alias(to[c]) for c in key], F.floor(F.col("n") / 2).cast("int").alias("wanted"),
         ((F.col("place") + 1) % max(total, 1)).alias("place"),
     )
-    chain = staged(ranked.join(previous, "place").select("doc_id", "h", "n", "to_id", "to_h", "wanted"), "chain")
-    mine, theirs = chain.select("doc_id", "h", "n"), chain.select("doc_id", "h", "to_id", "to_h", "wanted")
-
-    def joined(part: DataFrame) -> DataFrame:
-        other = part.withColumnsRenamed({"doc_id": "_id", "h": "_h"})
-        return base.join(other.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")))
-
-    own = joined(mine).select("doc_id", "h", "n", "text")
-    heads = joined(theirs).select("to_id", "to_h", F.left("text", F.col("wanted")).alias("head")).distinct()
-    both = own.join(
-        heads.hint("merge"), F.col("doc_id").eqNullSafe(F.col("to_id")) & (F.col("h") == F.col("to_h"))
-    )
+    chain = staged(ranked.join(previous, "place").drop("place"), "chain")
+    own = base.join(chain.select(*key, "n").hint("merge"), key)
+    heads = base.join(chain.select(*key, *to.values(), "wanted").hint("merge"), key)
+    heads = heads.select(*[F.col(to[c]).alias(c) for c in key], F.left("text", F.col("wanted")).alias("head")).distinct()
+    both = own.join(heads.hint("merge"), key)
     edited = F.concat(F.left("text", F.col("n") - F.floor(F.col("n") / 2).cast("int")), F.col("head"))
-    versions = both.select("doc_id", "h", "n", "text", edited.alias("edited")).select(
-        "doc_id", "h", "n",
+    versions = both.select(*key, "n", "text", edited.alias("edited")).select(
+        *key, "n",
         F.explode(F.array(
             F.struct(F.lit(0).alias("v"), F.lit("").alias("sha"), F.col("text").alias("version")),
             F.struct(F.lit(1).alias("v"), F.sha2("edited", 256).alias("sha"), F.col("edited").alias("version")),
         )).alias("x"),
-    ).select("doc_id", "h", "n", "x.*")
-    marked = fingerprints(versions, ["doc_id", "h", "n", "v", "sha"], "version", samples)
+    ).select(*key, "n", "x.*")
+    marked = fingerprints(versions, [*key, "n", "v", "sha"], "version", samples)
     prints = staged(
-        marked.groupBy("doc_id", "h", "n").agg(
+        marked.groupBy(*key, "n").agg(
             F.max("sha").alias("edited_sha256"),
             F.max(F.when(F.col("v") == 0, F.col("fingerprint"))).alias("fp"),
             F.max(F.when(F.col("v") == 1, F.col("fingerprint"))).alias("efp"),
         ),
         "fingerprints",
     )
-    links = chain.select("doc_id", "h", "to_id", "to_h").withColumnsRenamed({"doc_id": "_next", "h": "_next_h"})
-    after = prints.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("fp").alias("next_fp"))
-    nexts = links.join(after, F.col("_next").eqNullSafe(F.col("_id")) & (F.col("_next_h") == F.col("_h")))
-    nexts = nexts.select("to_id", "to_h", "next_fp")
-    out = prints.join(nexts, F.col("doc_id").eqNullSafe(F.col("to_id")) & (F.col("h") == F.col("to_h")))
+    links = chain.select(*key, *to.values())
+    nexts = links.join(prints.select(*key, F.col("fp").alias("next_fp")), key).select(
+        *[F.col(to[c]).alias(c) for c in key], "next_fp"
+    )
+    out = prints.join(nexts, key).withColumn("doc_id", F.when(~F.col("z"), F.col("d")))
     return out.select(
         "doc_id", F.col("n").cast("long").alias("n_chars"), "edited_sha256", as_text(F.col("fp")).alias("fingerprint"),
         as_text(F.col("efp")).alias("edited_fingerprint"), likeness(F.col("fp"), F.col("efp")).alias("near_edited"),
