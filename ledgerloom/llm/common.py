@@ -36,7 +36,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     with freed_shuffles(spark):
         df.write.option("compression", "zstd").parquet(path)
     gc.collect()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes what ``staged`` wrote for these frames, once nothing that is still to run reads it."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(frame._staged_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 
 def worker_memory() -> dict:

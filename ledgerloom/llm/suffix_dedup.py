@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import staged
+from ledgerloom.llm.common import discard, staged
 from ledgerloom.llm.rolling import JOIN, Powers, mixed, prefix_hashes
 
 #: Bytes of a string that may not repeat, and of the strings whose least hash is a window's place.
@@ -144,7 +144,9 @@ def _named(rows: DataFrame, name: str) -> DataFrame:
     joined = rows.join(known, (F.col("core") == F.col("_core")) & (F.col("whole") == F.col("_whole")))
     own = F.struct("doc_id", "at")
     flagged = joined.withColumn("repeated", own != F.col("first")).withColumn("open", ~F.col("repeated") & F.col("shared").isNotNull())
-    return staged(flagged.filter("repeated or open").select(*rows.columns, "repeated", "open"), name)
+    out = staged(flagged.filter("repeated or open").select(*rows.columns, "repeated", "open"), name)
+    discard(names, known, rows)
+    return out
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -156,7 +158,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     # The rows are made twice from the texts, which costs less than keeping them.
     rows = ids.mapInArrow(_first_level(length), "core long, whole long, doc_id long, at long")
     cores = staged(rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core"), "cores")
-    level = _named(staged(rows.join(cores, "core", "left_semi"), "shared"), "level0")
+    shared = staged(rows.join(cores, "core", "left_semi"), "shared")
+    discard(cores)
+    level = _named(shared, "level0")
     spans = [level.filter("repeated").select("doc_id", "at")]
     wanted = level.filter("open").groupBy("doc_id").agg(F.collect_list("at").alias("places"))
     wanted = wanted.withColumnRenamed("doc_id", "_id")
@@ -179,9 +183,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` with ``n_bytes, n_removed, n_spans`` (long), ``kept`` (binary) and ``kept_sha256`` added: the texts
-    without the bytes of the spans. Columns of the same names are replaced."""
-    made = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept": "binary", "kept_sha256": "string"}
+    """``docs`` with ``n_bytes, n_removed, n_spans`` (long), ``kept`` (binary), ``kept_sha256`` and ``kept_text`` added:
+    the texts without the bytes of the spans; as text without the parts of characters that a cut leaves over. Columns
+    of the same names are replaced."""
+    made = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept": "binary", "kept_sha256": "string", "kept_text": "string"}
     columns = [c for c in docs.columns if c not in made]
     lists = spans.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("begin", "end")).alias("_spans"))
     joined = docs.select(*columns).join(lists, F.col("doc_id").cast("long") == F.col("_id"), "left").drop("_id")
@@ -192,7 +197,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[] for _ in made]
             ranges = batch.column(len(columns))
             for i in range(batch.num_rows):
                 text = batch.column(text_at)[i].as_py()
@@ -214,16 +219,17 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
                         at = stop
                 kept.append(data[at:])
                 rest = b"".join(kept)
-                for column, value in zip(out, (len(data), removed, runs, rest, hashlib.sha256(rest).hexdigest()), strict=True):
+                for column, value in zip(out, (len(data), removed, runs, rest, hashlib.sha256(rest).hexdigest(), rest.decode(errors="ignore")), strict=True):
                     column.append(value)
-            arrays = [pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()), strict=True)]
+            arrays = [pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.string()), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], *arrays], names=[*columns, *made])
 
     return joined.mapInArrow(cut, schema)
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with ``n_bytes, n_removed, n_spans`` (long), ``kept`` (binary) and ``kept_sha256`` added.
+    """``docs`` with ``n_bytes, n_removed, n_spans`` (long), ``kept`` (binary), ``kept_sha256`` and
+    ``kept_text`` added.
 
     A byte goes if a string of ``length`` bytes that covers it also starts earlier: in a document with a smaller id or
     earlier in the same document. Strings are judged on the input, matches never cross documents. ``n_spans`` counts
