@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
-from ledgerloom.llm.common import worker_memory
+from ledgerloom.llm.common import Recent, worker_memory
 
 #: Unicode white space, written out so that it does not depend on the pattern library.
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -46,8 +46,8 @@ def portable(pattern: str) -> str:
 class ByteBpe:
     """Encodes as the merge ranks say: always the least rank, leftmost first."""
 
-    #: Entries of each memory; it is emptied when full, which costs time only.
-    MEMORY = 700_000
+    #: Entries of each memory.
+    MEMORY = 500_000
 
     def __init__(self, path: str, pattern: str) -> None:
         import regex
@@ -56,8 +56,7 @@ class ByteBpe:
         self.bytes_of = {i: b for b, i in self.ranks.items()}
         self.match = regex.compile(portable(pattern))
         self.lower = [0] * (max(self.ranks.values()) // 256 + 1)
-        self.chunks: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.tokens: dict[str, tuple[int, ...]] = {}
+        self.chunks, self.tokens = Recent(self.MEMORY), Recent(self.MEMORY)
         # Patterns of this kind begin a new match wherever white space follows something else.
         self.by_space = " ?" in pattern and r"\s+(?!\S)" in pattern
 
@@ -136,14 +135,13 @@ class ByteBpe:
         return tuple(out)
 
     def pre_token(self, piece: str) -> tuple[int, ...]:
-        ids = self.tokens.get(piece)
-        if ids is None:
+        try:
+            return self.tokens[piece]
+        except KeyError:
             ids = self.merge(piece.encode())
             if len(piece) <= 64:
-                if len(self.tokens) >= self.MEMORY:
-                    self.tokens.clear()
-                self.tokens[piece] = ids
-        return ids
+                self.tokens.add(piece, ids)
+            return ids
 
     def chunk(self, chunk: str) -> tuple[tuple[int, ...], str]:
         ids = tuple(chain.from_iterable(map(self.pre_token, self.match.findall(chunk))))
@@ -158,13 +156,12 @@ class ByteBpe:
         except KeyError:
             out = []
         for part in parts:
-            found = memory.get(part)
-            if found is None:
+            try:
+                found = memory[part]
+            except KeyError:
                 found = self.chunk(part)
                 if len(part) <= 64:
-                    if len(memory) >= self.MEMORY:
-                        memory.clear()
-                    memory[part] = found
+                    memory.add(part, found)
             out.append(found)
         return out
 

@@ -55,6 +55,26 @@ def worker_memory() -> dict:
     return sys.modules.setdefault("_llm_worker_memory", types.ModuleType("_llm_worker_memory")).__dict__
 
 
+class Recent(dict):
+    """A memory of bounded size: when full it becomes the old one, whose entries come back when they are asked for.
+    Entries in frequent use stay; the others go after a while, which costs time only."""
+
+    def __init__(self, limit: int) -> None:
+        super().__init__()
+        self.limit, self.old = limit, {}
+
+    def __missing__(self, key):
+        value = self.old[key]
+        self.add(key, value)
+        return value
+
+    def add(self, key, value) -> None:
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,12 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ledgerloom.llm.byte_bpe import blank_chunks
-from ledgerloom.llm.common import worker_memory
+from ledgerloom.llm.common import Recent, worker_memory
 
 #: Bytes of a batch given to the tokenizer.
 BATCH_BYTES = 1 << 20
-#: Pieces remembered by a worker; the memory is emptied when full, which costs time only.
-MEMORY = 500_000
+#: Pieces remembered by a worker, and bytes of texts that are looked up together.
+MEMORY, TEXT_BYTES = 600_000, 1 << 21
 
 
 def _lengths(path: str) -> tuple[Callable[[list[str]], list[int]], bool]:
@@ -58,6 +58,19 @@ def by_bytes(texts: list[str], limit: int) -> Iterator[list[str]]:
         yield held
 
 
+def text_batches(column: pa.Array) -> Iterator[list[str]]:
+    """The texts in order, a few megabytes at a time; so few that a memory holds all their short pieces."""
+    held, size = [], 0
+    for text in column:
+        held.append(text.as_py() or "")
+        size += len(held[-1])
+        if size >= TEXT_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def token_counts(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``(id, n_bytes long, n_tokens long)`` for every row.
 
@@ -72,12 +85,11 @@ def token_counts(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", tex
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loaded = worker_memory().get(("lengths", tokenizer))
         if loaded is None:
-            loaded = worker_memory()["lengths", tokenizer] = (*_lengths(tokenizer), {})
+            loaded = worker_memory()["lengths", tokenizer] = (*_lengths(tokenizer), Recent(MEMORY))
         lengths, cuttable, memory = loaded
         for batch in batches:
             sizes, counts = [], []
-            for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                texts = ["" if x is None else x for x in part.column(1).to_pylist()]
+            for texts in text_batches(batch.column(1)):
                 sizes += [len(x.encode()) for x in texts]
                 if not cuttable:
                     known = dict.fromkeys(texts)
@@ -86,14 +98,15 @@ def token_counts(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", tex
                         known |= zip(some, lengths(some), strict=True)
                     counts += [known.get(x, 0) for x in texts]
                     continue
-                if len(memory) >= MEMORY:
-                    memory.clear()
                 pieces = [blank_chunks(x) for x in texts]
                 long: dict[str, int] = {}
-                new = {p for x in pieces for p in x if p not in memory}
+                new = {p for x in pieces for p in x if p not in memory and p not in memory.old}
                 for some in by_bytes(list(new), BATCH_BYTES):
                     for piece, n in zip(some, lengths(some), strict=True):
-                        (memory if len(piece) <= 64 else long)[piece] = n
+                        if len(piece) <= 64:
+                            memory.add(piece, n)
+                        else:
+                            long[piece] = n
                 if long:
                     counts += [sum(long[p] if p in long else memory[p] for p in x) for x in pieces]
                 else:
