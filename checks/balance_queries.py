@@ -249,14 +249,13 @@ def account_balance_stats(spark, sf_dir):
     with_views(
         b.ACCOUNT,
         body="""SELECT consumer_id, CAST(0 AS BIGINT) AS chunk_no,
-  string_agg(CAST(balance AS VARCHAR), ',' ORDER BY balance_date, length(account_type)) AS all_balances
+  string_agg(CAST(balance AS VARCHAR), ',' ORDER BY balance_date, account_type) AS all_balances
 FROM account GROUP BY 1""",
     ),
 )
 def account_balance_lists(spark, sf_dir):
-    # The five test types have names of different length, which serves as the tie-break.
-    accounts = b.account(spark, sf_dir).withColumn("rank", F.length("account_type"))
-    return balances.ordered_lists(accounts, "balance_date", "rank", "balance", "all_balances").withColumn(
+    accounts = b.account(spark, sf_dir)
+    return balances.ordered_lists(accounts, "balance_date", "account_type", "balance", "all_balances").withColumn(
         "all_balances", F.array_join(F.col("all_balances").cast("array<string>"), ",")
     )
 

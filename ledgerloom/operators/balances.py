@@ -86,10 +86,10 @@ def ordered_lists(
     chunk: int = 100_000,
     max_rows: int = MAX_SEGMENT_ROWS,
 ) -> DataFrame:
-    """All values of a consumer in (day, tie-break) order, as arrays of at most ``chunk`` values.
+    """All values of a consumer in (day, tie-break) order, a row per (consumer, ``chunk_no``).
 
-    A consumer with more values gets several rows, numbered by ``chunk_no`` from 0, so that no single
-    array grows with the data.
+    Chunk c holds the values at places c * ``chunk`` up to (c + 1) * ``chunk``: the key and the layout are the same for
+    consumers of any size, and no array grows with the data.
     """
     numbered = ledger_prefix_sums(
         rows.select(KEY, day, tie, F.col(value).alias("_value"), F.lit(1).cast("bigint").alias("_one")),

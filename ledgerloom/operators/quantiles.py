@@ -1,18 +1,17 @@
 """Exact quantiles (linear interpolation) that hold for groups of any size.
 
-Groups up to a size limit are sorted whole, in the shuffle that their other statistics need anyway.
-Larger groups are selected step by step: count rows per value, count per value range, find the ranges
-that hold the wanted ranks, and sort only those.
+Rows are counted per key and value once; the counts are summed up along the values (``range_prefix_sums``), which gives
+the rank of every value, whatever the size of its group, and the wanted ranks are picked in one aggregate.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.scan import MAX_SEGMENT_ROWS, PIECE, RANGE, with_value_segments
+from ledgerloom.operators.scan import range_prefix_sums
 
 MAX_GROUP_ROWS = 1_000_000
 
@@ -28,68 +27,20 @@ def _interpolated(positions: Sequence[Column], out: str) -> Column:
     return F.array(*cells).alias(out)
 
 
-def _sorted_groups(
-    rows: DataFrame, keys: list[str], probabilities: Sequence[float], aggregates: Sequence[Column], out: str
-) -> DataFrame:
-    """Number the values of each group and pick the wanted ranks while aggregating: one shuffle."""
-    sort = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_last())
-    whole = sort.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # Both windows share the order, so they share one sort.
-    numbered = rows.select(
-        "*", F.count("_v").over(whole).alias("_n"), (F.row_number().over(sort) - 1).alias("_place")
-    )
-    positions = _positions(probabilities)
-    picks = [F.max("_n").alias("_n")]
-    for i, h in enumerate(positions):
-        picks.append(F.max(F.when(F.col("_place") == F.floor(h), F.col("_v"))).alias(f"_lo{i}"))
-        picks.append(F.max(F.when(F.col("_place") == F.ceil(h), F.col("_v"))).alias(f"_hi{i}"))
-    grouped = numbered.groupBy(*keys).agg(*aggregates, *picks)
-    return grouped.select(*grouped.columns[: len(keys) + len(aggregates)], _interpolated(positions, out))
-
-
-def _select_ranks(
-    values: DataFrame, keys: list[str], probabilities: Sequence[float], out: str, max_rows: int = MAX_SEGMENT_ROWS
-) -> DataFrame:
-    """Quantiles of ``_v`` per key by rank selection; ``values`` holds neither null nor NaN."""
-    counted = with_value_segments(
-        values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")), keys, "_v", max_rows
-    )
-    segment = [RANGE, PIECE]
-    along = Window.partitionBy(*keys).orderBy(*segment).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*keys)
-    ranges = (
-        counted.groupBy(*keys, *segment)
-        .agg(F.sum("_c").alias("_rc"))
-        .select(
-            *keys,
-            *segment,
-            (F.sum("_rc").over(along) - F.col("_rc")).alias("_before"),
-            F.sum("_rc").over(along).alias("_end"),
-            F.sum("_rc").over(whole).alias("_n"),
-        )
-    )
-    position = _positions(probabilities)
-    wanted = [rank for h in position for rank in (F.floor(h), F.ceil(h))]
-    hit = F.lit(False)
-    for rank in wanted:
-        hit = hit | ((rank >= F.col("_before")) & (rank < F.col("_end")))
-    # At most two ranges per key and probability are left, so this side is small enough to broadcast.
-    targets = ranges.filter(hit).drop("_end")
-    inside = (
-        Window.partitionBy(*keys, *segment).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = counted.join(F.broadcast(targets), [*keys, *segment]).withColumn(
-        "_upto", F.col("_before") + F.sum("_c").over(inside)
-    )
+def _picked(values: DataFrame, keys: list[str], probabilities: Sequence[float], out: str, max_rows: int) -> DataFrame:
+    """Quantiles of ``_v`` per key; ``values(keys, _v)`` holds neither null nor NaN."""
+    counted = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = range_prefix_sums(counted, keys, ["_v"], ["_c"], max_rows, total_suffix="_all")
+    ranked = ranked.withColumnsRenamed({"_c_all": "_n", "_c_upto": "_upto"})
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto")), F.col("_v")))
 
     picks = [F.max("_n").alias("_n")]
-    for i, h in enumerate(position):
+    for i, h in enumerate(_positions(probabilities)):
         picks += [at(F.floor(h)).alias(f"_lo{i}"), at(F.ceil(h)).alias(f"_hi{i}")]
-    result = ranked.groupBy(*keys).agg(*picks)
-    return result.select(*keys, _interpolated(position, out))
+    result = ranked.groupBy(*keys).agg(*picks).filter(F.col("_n").isNotNull())
+    return result.select(*keys, _interpolated(_positions(probabilities), out))
 
 
 def group_stats(
@@ -103,23 +54,18 @@ def group_stats(
 ) -> DataFrame:
     """``aggregates`` and an array of exact quantiles of ``value`` per key. Null keys are dropped.
 
-    The list of large groups has at most (rows / max_group_rows) lines, which bounds the broadcast.
+    The source is read twice: for the aggregates and for the counts per value. Groups without a value have null
+    quantiles. ``max_group_rows`` bounds the rows of a range that is sorted in one task.
     """
     keys = list(keys)
     value = F.col(value) if isinstance(value, str) else value
     for key in keys:
         df = df.filter(F.col(key).isNotNull())
     number = value.cast("double")
-    clean = df.withColumn("_v", F.when(~F.isnan(number), number))
-    present = F.col("_v").isNotNull()
-    large = clean.groupBy(*keys).agg(F.count("_v").alias("_n")).filter(F.col("_n") > max_group_rows).select(*keys)
-    small_rows = clean.join(F.broadcast(large), keys, "left_anti")
-    large_rows = clean.join(F.broadcast(large), keys, "left_semi")
-    small = _sorted_groups(small_rows, keys, probabilities, aggregates, out)
-    picked = _select_ranks(large_rows.filter(present).select(*keys, "_v"), keys, probabilities, out, max_group_rows)
-    if aggregates:
-        picked = large_rows.groupBy(*keys).agg(*aggregates).join(picked, keys, "left")
-    return small.unionByName(picked)
+    values = df.select(*keys, number.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    picked = _picked(values, keys, probabilities, out, max_group_rows)
+    groups = df.groupBy(*keys).agg(*aggregates) if aggregates else df.select(*keys).distinct()
+    return groups.join(picked, keys, "left")
 
 
 def column_quantiles(
@@ -131,5 +77,5 @@ def column_quantiles(
 ) -> DataFrame:
     """One row with the exact quantiles of a whole column (no row if the table is empty)."""
     value = F.col(value) if isinstance(value, str) else value
-    values = df.select(F.lit(0).alias("_all"), value.cast("double").alias("_x"))
-    return group_stats(values, ["_all"], "_x", probabilities, out=out, max_group_rows=max_group_rows).select(out)
+    values = df.select(value.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    return _picked(values, [], probabilities, out, max_group_rows)

@@ -12,11 +12,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerloom.functions.columns import value_range
+from ledgerloom.session import staged
 
-PIECE = "_piece"
+PIECE, RANGE = "_piece", "_range"
 
 # A (key, day) group above this many rows is cut further, by ranges of its tie-break.
 MAX_SEGMENT_ROWS = 1_000_000
@@ -55,13 +55,6 @@ def prefix_sums(
     )
 
 
-def _position(df: DataFrame, tie: str) -> Column:
-    """A number to cut a day at. Text ids are ordered by their hash: any fixed unique order will do."""
-    if isinstance(df.schema[tie].dataType, T.NumericType):
-        return F.col(tie)
-    return F.shiftright(F.xxhash64(F.col(tie).cast("string")), 1)
-
-
 def with_pieces(
     rows: DataFrame, groups: Sequence[str], position: Column, max_rows: int = MAX_SEGMENT_ROWS
 ) -> DataFrame:
@@ -85,16 +78,6 @@ def with_pieces(
     return rows.join(F.broadcast(large), groups, "left").select(*rows.columns, piece.alias(PIECE))
 
 
-def with_day_pieces(
-    rows: DataFrame, keys: Sequence[str], day: str, tie: str, max_rows: int = MAX_SEGMENT_ROWS
-) -> DataFrame:
-    """Hot days cut at ranges of the tie-break."""
-    return with_pieces(rows, [*keys, day], _position(rows, tie), max_rows)
-
-
-RANGE = "_range"
-
-
 def with_value_segments(
     counted: DataFrame, keys: Sequence[str], value: str, max_rows: int = MAX_SEGMENT_ROWS
 ) -> DataFrame:
@@ -111,15 +94,49 @@ def value_prefix_sums(
     return prefix_sums(segments, keys, [RANGE, PIECE], [value], values, total_suffix="_all").drop(RANGE, PIECE)
 
 
-def tie_order(df: DataFrame, tie: str) -> list[Column]:
-    """Sort order inside a piece; agrees with the order of the pieces."""
-    return [_position(df, tie), F.col(tie)]
+def cut_ranges(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_SEGMENT_ROWS
+) -> DataFrame:
+    """``rows`` with the number of their range: ranges of about equal size, at most about ``max_rows``, along the keys and
+    the order, whatever the values are. Staged, so that later readers see the same cuts."""
+    source = staged(rows, "scan")
+    ranges = source.count() // max_rows + int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort = [F.col(c).asc_nulls_last() for c in [*keys, *order]]
+    return staged(source.repartitionByRange(ranges, *sort).withColumn(RANGE, F.spark_partition_id()), "ranges")
 
 
-def large_keys(rows: DataFrame, keys: Sequence[str], max_rows: int = MAX_SEGMENT_ROWS) -> DataFrame:
-    """Keys with more than ``max_rows`` rows; at most (rows / max_rows) lines, so safe to broadcast."""
-    return (
-        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(*keys)
+def range_prefix_sums(
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    values: Sequence[str],
+    max_rows: int = MAX_SEGMENT_ROWS,
+    suffix: str = "_upto",
+    total_suffix: str | None = None,
+) -> DataFrame:
+    """Cumulative sums (``<value><suffix>``) along ``order`` per key, for keys of any size.
+
+    The rows are staged once, cut into ranges of about equal size by key and order, whatever the values are. Sums of
+    whole ranges are added up per key; row-level windows run inside a range. The result depends on the order alone,
+    not on the cuts. ``total_suffix`` also adds the sum over the whole key.
+    """
+    keys, order = list(keys), list(order)
+    cut = cut_ranges(rows, keys, order, max_rows)
+    totals = cut.groupBy(*keys, RANGE).agg(*[F.sum(v).alias(v) for v in values])
+    along = Window.partitionBy(*keys or [F.lit(0)])
+    earlier = along.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *keys,
+        RANGE,
+        *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_{v}_before") for v in values],
+        *([F.sum(v).over(along).alias(f"{v}{total_suffix}") for v in values] if total_suffix else []),
+    )
+    inside = Window.partitionBy(*keys, RANGE).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return cut.join(offsets, [*keys, RANGE]).select(
+        *rows.columns,
+        *[(F.col(f"_{v}_before") + F.sum(v).over(inside)).alias(f"{v}{suffix}") for v in values],
+        *([f"{v}{total_suffix}" for v in values] if total_suffix else []),
     )
 
 
@@ -133,28 +150,13 @@ def ledger_prefix_sums(
     suffix: str = "_upto",
     per_key: DataFrame | None = None,
 ) -> DataFrame:
-    """Cumulative sums per key in (day, tie-break) order. Rows without key or day are dropped.
-
-    ``per_key`` (one row per key) is inner-joined on the way: with normal keys it shares the shuffle
-    of the window, and the few lines of the large keys are broadcast to the cut branch.
+    """Cumulative sums per key in (day, tie-break) order, text ids included. Rows without key or day are dropped.
 
-    A key of normal size takes one shuffle and one window. A large key is cut at its days, and a hot
-    day into pieces; that branch vanishes at run time when there is no large key.
+    ``per_key`` (one row per key) is inner-joined on the way.
     """
     keys = list(keys)
     for column in [*keys, day]:
         rows = rows.filter(F.col(column).isNotNull())
-    large = F.broadcast(large_keys(rows, keys, max_rows))
-    whole = (
-        Window.partitionBy(*keys)
-        .orderBy(F.col(day), *tie_order(rows, tie))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    few, many = rows.join(large, keys, "left_anti"), rows.join(large, keys, "left_semi")
     if per_key is not None:
-        few = few.join(per_key, keys)
-        many = many.join(F.broadcast(per_key.join(large, keys, "left_semi")), keys)
-    normal = few.select(*few.columns, *[F.sum(v).over(whole).alias(f"{v}{suffix}") for v in values])
-    pieces = with_day_pieces(many, keys, day, tie, max_rows)
-    cut = prefix_sums(pieces, keys, [day, PIECE], tie_order(rows, tie), values, suffix).drop(PIECE)
-    return normal.select(*cut.columns).unionByName(cut)
+        rows = rows.join(per_key, keys)
+    return range_prefix_sums(rows, keys, [day, tie], values, max_rows, suffix)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import one_row
+from ledgerloom.session import checked_broadcast
 
 # The cleaning patterns. (?U) makes \b, \d and \s see all of Unicode; the four separator
 # characters \x1c-\x1f count as blanks too.
@@ -101,7 +102,8 @@ def frequent_label_filter(df: DataFrame, label: str = "category", min_rows: int
     """Blanks in labels become '_'; labels with too few rows are dropped with all their rows."""
     named = df.withColumn(label, F.replace(F.col(label), F.lit(" "), F.lit("_")))
     frequent = named.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows)
-    return named.join(frequent.select(label), label, "left_semi")
+    # The labels are few: computed first and sent to the rows if they are, so that no memo is shuffled.
+    return named.join(checked_broadcast(frequent.select(label)), label, "left_semi")
 
 
 def union_flows(inflows: DataFrame, outflows: DataFrame) -> DataFrame:
@@ -115,12 +117,10 @@ def _words(text: str) -> Column:
 def term_counts(docs: DataFrame, doc_id: str = "id", text: str = "memo") -> DataFrame:
     """Occurrences of each lower-case word per document; the whole text is read.
 
-    Documents are spread by id before they are split into words: texts are smaller than word rows, and
-    all later work per document stays in place.
+    A text is split and counted where it lies; only (document, word, count) rows are shuffled.
     """
     return (
         docs.select(doc_id, text)
-        .repartition(doc_id)
         .select(doc_id, F.explode(_words(text)).alias("term"))
         .groupBy(doc_id, "term")
         .agg(F.count(F.lit(1)).alias("tf"))

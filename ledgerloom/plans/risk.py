@@ -148,11 +148,11 @@ def candidates(rows: int, rounds: int = 200, trees: int = 200, max_iter: int = 1
     return {
         "logistic_regression": Candidate(logistic(rows, max_iter), "balanced"),
         "random_forest": Candidate(forest(trees)),
-        "balanced_forest": Candidate(forest(trees, depth=30 if trees > 50 else 10), "undersampled"),
+        "balanced_forest": Candidate(forest(trees, depth=30), "undersampled"),
         "gradient_boosting": Candidate(boosted(rounds)),
         "weighted_boosting": Candidate(boosted(rounds, weighted=True), "positive"),
         "undersampled_boosting": Candidate(boosted(rounds), "undersampled"),
-        "linear_margin": Candidate(margin(min(max_iter, 100))),
+        "linear_margin": Candidate(margin(max_iter)),
     }
 
 

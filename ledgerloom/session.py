@@ -60,6 +60,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Written as Parquet below the shared folder and read again: cuts the lineage, survives the loss of executors, and
+    later readers take only the columns they need."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Lines up to which a lookup table is sent to every executor.
 MAX_BROADCAST_ROWS = 100_000
 

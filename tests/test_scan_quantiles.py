@@ -37,12 +37,25 @@ def test_prefix_sums_match_a_plain_window(spark, max_rows):
     assert both.filter(F.col("signed_upto") != F.col("expected")).count() == 0
 
 
-def test_hot_day_is_cut_into_bounded_pieces(spark):
-    df = skewed_ledger(spark)
-    pieces = scan.with_day_pieces(df, ["consumer_id"], "posted_date", "txn_id", 100)
-    largest = pieces.groupBy("consumer_id", "posted_date", scan.PIECE).count().agg(F.max("count")).first()[0]
-    assert largest <= 100
-    assert pieces.count() == df.count()
+@pytest.mark.parametrize("outlier", [0, 10**15])
+def test_hot_day_is_cut_into_bounded_ranges(spark, outlier):
+    df = skewed_ledger(spark, 10_000).withColumn("posted_date", F.to_date(F.lit("2024-01-01")))
+    df = df.withColumn("txn_id", F.when(F.col("txn_id") == 5, F.col("txn_id") + outlier).otherwise(F.col("txn_id")))
+    cut = scan.cut_ranges(df, ["consumer_id"], ["posted_date", "txn_id"], 100)
+    assert cut.groupBy(scan.RANGE).count().agg(F.max("count")).first()[0] <= 300
+    assert cut.count() == df.count()
+
+
+def test_text_ids_are_ordered_by_themselves(spark):
+    df = spark.createDataFrame([(str(i), 1, "2024-01-01", i) for i in (3, 1, 5, 2, 4)], "txn_id string, consumer_id int, posted_date string, v long")
+    out = scan.ledger_prefix_sums(df, ["consumer_id"], "posted_date", "txn_id", ["v"], 2)
+    assert [r["v_upto"] for r in out.orderBy("txn_id").collect()] == [1, 3, 6, 10, 15]
+
+
+def test_null_heavy_group_has_exact_quantiles(spark):
+    df = spark.range(100_000).select(F.lit(1).alias("k"), F.when(F.col("id") < 5, F.col("id")).cast("double").alias("v"))
+    got = quantiles.group_stats(df, ["k"], "v", [0.5, 1.0], [F.count(F.lit(1)).alias("n")], max_group_rows=100).first()
+    assert (got["n"], got["quantiles"]) == (100_000, [2.0, 4.0])
 
 
 def test_text_tie_break_has_a_fixed_order(spark):
