@@ -36,7 +36,7 @@ def shingle_sets(texts: list[bytes], powers: Powers, k: int = SHINGLE) -> list[n
     first = np.searchsorted(starts, bounds)
     n = len(words)
     joined = np.zeros(max(n - k + 1, 0), np.uint64)
-    for j in range(k):
+    for j in range(k if n >= k else 0):
         joined += words[j : n - k + 1 + j] * JOIN[1 + j]
     joined = mixed(joined)
     out = []
