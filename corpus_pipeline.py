@@ -47,7 +47,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with the digests of the ids and of what they decode to."""
-    return encode_texts(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return encode_texts(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, memory=100_000)
 
 
 STAGES = [

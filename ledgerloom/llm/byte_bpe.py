@@ -46,17 +46,14 @@ def portable(pattern: str) -> str:
 class ByteBpe:
     """Encodes as the merge ranks say: always the least rank, leftmost first."""
 
-    #: Entries of each memory.
-    MEMORY = 500_000
-
-    def __init__(self, path: str, pattern: str) -> None:
+    def __init__(self, path: str, pattern: str, memory: int = 500_000) -> None:
         import regex
 
         self.ranks = load_ranks(path)
         self.bytes_of = {i: b for b, i in self.ranks.items()}
         self.match = regex.compile(portable(pattern))
         self.lower = [0] * (max(self.ranks.values()) // 256 + 1)
-        self.chunks, self.tokens = Recent(self.MEMORY), Recent(self.MEMORY)
+        self.chunks, self.tokens = Recent(memory), Recent(memory)
         # Patterns of this kind begin a new match wherever white space follows something else.
         self.by_space = " ?" in pattern and r"\s+(?!\S)" in pattern
 
@@ -173,14 +170,16 @@ class ByteBpe:
 
 
 def encode_texts(
-    docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text", keep_ids: bool = True
+    docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text", keep_ids: bool = True,
+    memory: int = 500_000,
 ) -> DataFrame:
     """``(id, n_tokens long, ids_sha256 string, decoded_sha256 string[, ids array<int>])`` for every row.
 
     ``path`` is a rank file that all executors can read. Each match of ``pattern`` is encoded by itself, without
     special tokens; the ids are then decoded again. A null text counts as empty: no ids, the digests of nothing.
     Repeated rows give repeated results, an empty table an empty result; other columns are not read. A pre-token may
-    be of any length: the queue handles n bytes in about n log n steps.
+    be of any length: the queue handles n bytes in about n log n steps. ``memory`` entries each of chunks and pre-tokens
+    are remembered twice over by a worker, about 1 KB per entry in all; less memory costs time only.
     """
     schema = docs.select(id_column).schema.add("n_tokens", "long", False).add("ids_sha256", "string", False)
     schema = schema.add("decoded_sha256", "string", False)
@@ -188,9 +187,9 @@ def encode_texts(
         schema = schema.add("ids", ArrayType(IntegerType(), False), False)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = worker_memory().get((path, pattern))
+        coder = worker_memory().get((path, pattern, memory))
         if coder is None:
-            coder = worker_memory()[path, pattern] = ByteBpe(path, pattern)
+            coder = worker_memory()[path, pattern, memory] = ByteBpe(path, pattern, memory)
         gc.disable()  # millions of small tuples without cycles
         for batch in batches:
             counts, digests, back, kept = [], [], [], []
