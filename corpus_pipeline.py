@@ -24,7 +24,13 @@ def _with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep, without the lines that fail."""
-    return _with_text(quality_rules(docs).filter("kept"), docs.columns, "clean_text")
+    others = F.struct(*[F.col(c) for c in docs.columns if c != "text"])
+    row = F.struct(others.alias("own"), F.col("kept").alias("kept"), F.col("clean_text").alias("text"))
+    # A filter does not move below a generator, where it would compute the rules once more.
+    judged = quality_rules(docs).select(F.explode(F.array(row)).alias("row")).filter("row.kept")
+    length = F.length("row.text").cast("long")
+    new = {"text": F.col("row.text").alias("text"), "n_chars": length.alias("n_chars")}
+    return judged.select(*[new[c] if c in new else F.col("row.own")[c].alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
