@@ -109,11 +109,14 @@ def quality_rules(docs: DataFrame, min_words: int = 50, max_loss: float = MAX_LO
     counts = let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("r")))
     clean = F.array_join(F.filter(F.split(text, "\n"), line_passes), "\n")
     kept = [F.col(c) for c in docs.columns if c not in made]
+    held = "_counts"
+    while held in docs.columns:
+        held += "_"
     first = docs.select(
         *kept, word_chars(text).alias("word_chars"), symbols(text).alias("n_symbols"), duplicates.alias("n_dup_lines"),
-        counts.alias("_counts"), clean.alias("clean_text"),
+        counts.alias(held), clean.alias("clean_text"),
     )
-    n, repeats = F.col("_counts")["n"], F.col("_counts")["r"]
+    n, repeats = F.col(held)["n"], F.col(held)["r"]
     return first.select(
         *[F.col(c) for c in docs.columns if c not in made],
         n.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", repeats.alias("n_repeat_words"),

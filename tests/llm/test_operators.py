@@ -6,6 +6,7 @@ import html
 import random
 import re
 
+import corpus_pipeline
 import public_tokenizers
 import pytest
 import tiktoken
@@ -239,6 +240,14 @@ def test_quality_rules(spark, documents, edge):
     assert quality.quality_rules(edge.limit(0)).count() == 0
 
 
+def test_names_of_own_columns_may_clash(spark, edge):
+    clash = edge.withColumns({c: F.lit(1) for c in ("_counts", "kept", "clean_text", "row", "own")})
+    plain = rows_of(quality.quality_rules(edge), "doc_id", "n_repeat_words", "kept")
+    assert rows_of(quality.quality_rules(clash), "doc_id", "n_repeat_words", "kept") == plain
+    stage = corpus_pipeline.quality(spark, clash, "")
+    assert stage.columns == clash.columns and stage.count() == sum(r[2] for r in plain)
+
+
 def test_line_rules(spark):
     lines = ["A plain sentence that ends well.", "Home | News | About | Contact", "Accept all cookies", "### $$$ %% word",
              "THIS LINE IS ALL SHOUTED OUT!", "eight words and not one mark of punctuation here", "", "Title"]
