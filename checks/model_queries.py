@@ -107,7 +107,7 @@ def risk_gbt_undersampled(spark, sf_dir):
 
 @query("risk_svm")
 def risk_svm(spark, sf_dir):
-    return risk_metrics(spark, sf_dir, "linear_margin", lambda d: risk.margin(20))
+    return risk_metrics(spark, sf_dir, "linear_margin", lambda d: risk.margin())
 
 
 @query("model_comparison")
@@ -137,7 +137,7 @@ def tuned_gbt(spark, sf_dir):
 def model_roundtrip(spark, sf_dir):
     rows = scorefeat(spark, sf_dir).filter("dq_target is not null").withColumnRenamed("dq_target", "label")
     train = sampling.with_class_weight(rows, "label")
-    fitted = risk.scaling_pipeline(list(COEFFICIENTS), risk.logistic(1000, 50)).fit(train)
+    fitted = risk.scaling_pipeline(list(COEFFICIENTS), risk.logistic(train.count())).fit(train)
     path = new_path(spark, "risk-pipeline")
     risk.save_model(fitted, path)
     restored = risk.load_model(path)
