@@ -5,38 +5,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import prefix_sums, staged
+from ledgerloom.llm.common import SPACE, prefix_sums, staged
 from ledgerloom.llm.quality import let
 
 #: Samples of a fingerprint.
 SAMPLES = 64
-#: A term ends at white space after one of these characters: a few words, cut by content, so that an edit changes the
-#: terms next to it only.
-TERM_END = r"(?<=[t.,;:!?。，！？])\s+"
+#: Code points of the longest word that is a term of its own. Longer ones (scripts without white space, addresses) give
+#: their overlapping shingles of SHINGLE code points, so that an edit changes the terms next to it only.
+WORD_CHARS = 16
+SHINGLE = 4
+
+
+def term_codes(text: Column) -> Column:
+    """``array<long>``, one entry for every occurrence of a term: the upper 59 bits of a hash, and in the lower 5 the
+    weight of the occurrence. That is a word's code points; every shingle of a long word weighs 1."""
+    words = F.array_remove(F.split(text, rf"[{SPACE}]+"), "")
+    code = lambda term, weight: F.shiftleft(F.xxhash64(term, weight), 5).bitwiseOR(weight)
+
+    def shingles(word: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(word) - (SHINGLE - 1))
+        return F.transform(starts, lambda i: code(F.substring(word, i, F.lit(SHINGLE)), F.lit(1).cast("long")))
+
+    def codes(all_words: Column) -> Column:
+        long_ones = F.filter(all_words, lambda w: F.length(w) > WORD_CHARS)
+        short = F.transform(F.filter(all_words, lambda w: F.length(w) <= WORD_CHARS), lambda w: code(w, F.length(w).cast("long")))
+        return F.concat(short, F.flatten(F.transform(long_ones, shingles)))
+
+    return let(words, codes)
 
 
 def weighted_terms(text: Column) -> Column:
-    """``array<struct<term long, log_weight double>>``: hashes of the text's terms; a term weighs its code points times
-    its number of occurrences. Sorted, so that equal terms lie next to each other."""
-    terms = F.array_sort(F.array_remove(F.split(text, TERM_END), ""))
+    """``array<struct<term long, log_weight double>>``: the text's terms; a term weighs its code points (a shingle 1)
+    times its number of occurrences."""
 
-    def counted(sorted_terms: Column) -> Column:
-        n = F.size(sorted_terms)
+    def counted(codes: Column) -> Column:
+        n = F.size(codes)
         places = F.sequence(F.lit(0), n - 1)
-        first = lambda i: (i == 0) | (F.get(sorted_terms, i) != F.get(sorted_terms, i - 1))
-        starts = F.filter(places, first)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(codes, i) != F.get(codes, i - 1)))
 
         def weigh(begin: Column) -> Column:
             def one(start: Column, j: Column) -> Column:
                 times = F.coalesce(F.get(begin, j + 1), n) - start
-                term = F.get(sorted_terms, start)
-                return F.struct(F.xxhash64(term).alias("term"), F.log((times * F.length(term)).cast("double")).alias("log_weight"))
+                term = F.get(codes, start)
+                return F.struct(term.alias("term"), F.log((times * term.bitwiseAND(F.lit(31))).cast("double")).alias("log_weight"))
 
             return F.transform(begin, one)
 
         return F.when(n > 0, let(starts, weigh))
 
-    return let(terms, counted)
+    return let(F.sort_array(term_codes(text)), counted)
 
 
 def _unit(bits: Column) -> Column:

@@ -397,3 +397,20 @@ def test_collisions_estimate_the_weighted_jaccard(spark):
             errors.append(sum(p == q for p, q in zip(prints[a], prints[b], strict=True)) / 512 - true)
     assert abs(sum(errors) / len(errors)) < 0.02
     assert sum(e * e for e in errors) / len(errors) < 0.035**2
+
+
+def test_edits_inside_a_text_lose_their_own_weight_only(spark):
+    rng = random.Random(5)
+    docs = []
+    for kind in range(4):  # words without t and marks, words that all end in t, no white space, one long word
+        first, count, glue = [("a", 7, " "), ("a", 7, "t "), (chr(0x4E00), 2000, ""), ("a", 7, "")][kind]
+        words = ["".join(chr(ord(first) + rng.randrange(count)) for _ in range(6)) for _ in range(200)]
+        other = ["".join(chr(ord(first) + count + rng.randrange(count)) for _ in range(6)) for _ in range(20)]
+        texts = (words, words[:90] + other + words[110:], words[:100], words[:100] + words)
+        docs += [(10 * kind + i, glue.join(x)) for i, x in enumerate(texts)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    prints = {r.doc_id: r.fingerprint for r in fingerprints.fingerprints(df, ["doc_id"], "text").collect()}
+    for kind in range(4):
+        for i, true in ((1, 180 / 220), (2, 1 / 2), (3, 2 / 3)):  # the last: occurrences count
+            same = sum(p == q for p, q in zip(prints[10 * kind], prints[10 * kind + i], strict=True))
+            assert same / 64 == pytest.approx(true, abs=0.2)
