@@ -113,6 +113,17 @@ def test_shared_runs_of_a_host_go(spark):
     assert html_extract.extract_text(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    fill, own = " ".join(f"w{i}" for i in range(15)), " ".join(f"v{i}" for i in range(20))
+    copy = f"<div>{fill}</div><p>{own}</p>"
+    pages = [(1, "http://h.com/1", copy), (2, "http://h.com/2", copy), (3, "http://g.com/3", copy), (4, "http://g.com/4", copy),
+             (5, "http://g.com/5", f"<div>{fill}</div><p>other</p>"), (6, None, copy), (7, "no scheme", copy + "<p>more</p>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_text(df).collect()}
+    assert got[1] == got[2] == got[6] == f"{fill}\n\n{own}" and got[7] == f"{fill}\n\n{own}\n\nmore"
+    assert got[3] == got[4] == own and got[5] == "other"  # two distinct contents share the fill
+
+
 def test_pages_of_the_tables(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for r in html_extract.extract_text(pages).join(pages.drop("url"), "page_id").collect():
