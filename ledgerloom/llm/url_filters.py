@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +23,14 @@ TAGS = r"(?i)<(?:link|meta)\b[^>]*>"
 CANONICAL = r"""(?i)\brel\s*=\s*["']?canonical\b"""
 HREF = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
 REFRESH = r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b"""
+#: As in the SQL text; the operator reads the decoded content attribute by REFRESH_CONTENT.
 REFRESH_URL = r"""(?i)\burl\s*=\s*["']?([^"'\s>;]+)"""
+#: Seconds, then the address: to the end, or in quotes. Semicolons belong to it.
+REFRESH_CONTENT = r"""(?is)^\s*+[\d.]*+[\s;,]*+(?:url\s*=\s*)?+(?:"([^"]*)|'([^']*)|([^"'].*))"""
+BASE = r"(?is)<base\b[^>]*>"
+SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"
+REFERENCE = r"(?s)&#0*[0-9]{1,7}(?![0-9]);?|&#[xX]0*[0-9a-fA-F]{1,6}(?![0-9a-fA-F]);?|&[a-zA-Z][a-zA-Z0-9]*;|&amp(?![=a-zA-Z0-9])|&|[^&]+"
+NAMED = json.dumps({name[:-1]: text for name, text in html5.items() if name.endswith(";")})
 
 
 def lower_ascii(text: Column) -> Column:
@@ -57,26 +66,84 @@ def address(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(host_of(url), F.rtrim(path_of(url), F.lit("/")), query))
 
 
+def decoded(text: Column) -> Column:
+    """A text with its character references replaced; unknown ones stay."""
+    names = F.from_json(F.lit(NAMED), "map<string,string>")
+
+    def one(piece: Column) -> Column:
+        name = F.regexp_extract(piece, r"^&([a-zA-Z][a-zA-Z0-9]*)", 1)
+        hexadecimal = piece.rlike("^&#[xX]")
+        digits = F.regexp_extract(piece, r"^&#[xX]?([0-9a-fA-F]+)", 1)
+        code = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(F.conv(F.regexp_extract(digits, "^[0-9]+", 0), 10, 10)).cast("long")
+        valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        character = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        return (
+            F.when(piece.rlike("^&#[0-9xX]"), character)
+            .when(name != "", F.coalesce(F.try_element_at(names, name), piece))
+            .otherwise(piece)
+        )
+
+    pieces = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
+    return F.when(F.instr(text, "&") > 0, F.array_join(F.transform(pieces, one), "")).otherwise(text)
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's attribute, its references not yet decoded; empty without one."""
+    value = F.regexp_extract(tag, rf"""(?i)[\s"'/]{name}\s*=\s*("[^"]*"|'[^']*'|["']?[^\s"'>]+)""", 1)
+    return F.btrim(value, F.lit("\"'"))
+
+
+def without_dots(path: Column) -> Column:
+    """A path that starts with a slash, with its ``.`` and ``..`` segments worked out."""
+    parts = F.split(path, "/")
+    empty = F.array().cast("array<string>")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
+        empty,
+        lambda done, part: F.when(part == ".", done)
+        .when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.concat(done, F.array(part))),
+    )
+    end = F.when(path.rlike(r"/\.\.?$") & (F.size(kept) > 0), "/").otherwise("")
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"), end)).otherwise(path)
+
+
 def resolved(link: Column, url: Column) -> Column:
-    """An absolute form of a link on a page."""
+    """An absolute form of a link on a page: relative ones are merged with the page's path or query. Null if the page's
+    url has no ``://``."""
     scheme = F.regexp_extract(url, r"^((?s:.*?)://)", 1)
+    own = path_of(url)
+    path, tail = F.regexp_extract(link, r"^([^?#]*)", 1), F.regexp_extract(link, r"^[^?#]*((?s:.*))", 1)
+    folder = F.when(own == "", "/").otherwise(F.regexp_extract(own, r"^((?s:.*)/)", 1))
+    merged = (
+        F.when(path == "", own).when(path.startswith("/"), without_dots(path)).otherwise(without_dots(F.concat(folder, path)))
+    )
+    query = F.when(link.startswith("#"), F.regexp_extract(url, r"^[^?#]*(\?[^#]*)", 1)).otherwise("")
     return (
-        F.when(F.instr(link, "://") > 0, link)
+        F.when(link.rlike(SCHEME), link)
+        .when(F.instr(url, "://") == 0, F.lit(None))
         .when(link.startswith("//"), F.concat(F.regexp_replace(scheme, "//$", ""), link))
-        .when(link.startswith("/"), F.concat(scheme, host_of(url), link))
+        .otherwise(F.concat(scheme, host_of(url), merged, query, tail))
     )
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
-    """``(url, target)``: redirects by ``<meta http-equiv=refresh>`` and canonical links of every page."""
+    """``(url, target)``: redirects by ``<meta http-equiv=refresh>`` and canonical links of every page. Relative ones
+    start from the page's first ``<base href>``, else from its url."""
     tags = F.regexp_extract_all("html", F.lit(TAGS), F.lit(0))
-    links = F.transform(
-        F.filter(tags, lambda t: t.rlike(CANONICAL) | t.rlike(REFRESH)),
-        lambda t: F.when(t.rlike(CANONICAL), F.regexp_extract(t, HREF, 1)).otherwise(F.regexp_extract(t, REFRESH_URL, 1)),
-    )
-    found = pages.select("url", F.explode(links).alias("link")).filter("link <> ''")
-    link = F.replace(F.col("link"), F.lit("&amp;"), F.lit("&"))
-    return found.select("url", resolved(link, F.col("url")).alias("target")).filter("target is not null")
+    found = F.filter(tags, lambda t: t.rlike(CANONICAL) | t.rlike(REFRESH))
+    bases = F.filter(F.regexp_extract_all("html", F.lit(BASE), F.lit(0)), lambda t: t.rlike(HREF))
+    rows = pages.select("url", F.when(F.size(found) > 0, F.get(bases, F.lit(0))).alias("base"), F.explode(found).alias("tag"))
+    canonical = F.col("tag").rlike(CANONICAL)
+    raw = F.when(canonical, attribute(F.col("tag"), "href")).otherwise(attribute(F.col("tag"), "content"))
+    rows = rows.select("url", canonical.alias("canonical"), raw.alias("raw"), F.trim(attribute(F.col("base"), "href")).alias("base"))
+    rows = rows.select("url", "canonical", decoded(F.col("raw")).alias("raw"), decoded(F.col("base")).alias("base"))
+    refresh = F.concat(*[F.regexp_extract("raw", REFRESH_CONTENT, i) for i in (1, 2, 3)])
+    start = F.when(F.col("base") != "", resolved(F.col("base"), F.col("url"))).otherwise(F.col("url"))
+    link = F.btrim(F.when(F.col("canonical"), F.col("raw")).otherwise(refresh), F.lit(" \t\n\f\r"))
+    links = rows.select("url", start.alias("start"), link.alias("link"))
+    links = links.select("url", F.when(F.col("link") != "", resolved(F.col("link"), F.col("start"))).alias("target"))
+    return links.filter("target is not null")
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, redirects: DataFrame | None = None) -> DataFrame:

@@ -349,6 +349,34 @@ def test_url_rules_and_aliases(spark):
     assert url_filters.judge_urls(df.limit(0)).count() == 0
 
 
+def test_relative_links_and_references(spark):
+    link, refresh = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="{}">'
+    cases = [
+        ("http://a.org/x/y/z.html", link.format("page.html"), "http://a.org/x/y/page.html"),
+        ("http://a.org/x/y/z.html", link.format("../w/./v?q=../1#f"), "http://a.org/x/w/v?q=../1#f"),
+        ("http://a.org/x", link.format("../../up"), "http://a.org/up"),
+        ("http://a.org", link.format("p"), "http://a.org/p"),
+        ("http://a.org/x?old=1#g", refresh.format("0; URL=?q=2"), "http://a.org/x?q=2"),
+        ("http://a.org/x?old=1", refresh.format("5"), None),
+        ("http://a.org/x", link.format("/b/../c/"), "http://a.org/c/"),
+        ("https://a.org/x", link.format("//B.org/c"), "https://B.org/c"),
+        ("http://a.org/x", link.format("q?to=http://b.org/"), "http://a.org/q?to=http://b.org/"),
+        ("http://a.org/x", refresh.format("0; url=http://h/p?a=1&amp;b=2&#38;c=&#x33;&copy=4"), "http://h/p?a=1&b=2&c=3&copy=4"),
+        ("http://a.org/x", refresh.format("0;url='p;v=1'"), "http://a.org/p;v=1"),
+        ("http://a.org/x", "<base href='/deep/er/'>" + link.format("p"), "http://a.org/deep/er/p"),
+        ("no scheme", link.format("p"), None),
+    ]
+    for n, (url, page, want) in enumerate(cases):
+        cases[n] = (n, url, page, want)
+    df = spark.createDataFrame([(f"{url}#{n}" if "#" not in url and want else url, page) for n, url, page, want in cases], "url string, html string")
+    want = [w for *_, w in cases if w]
+    assert sorted(r.target for r in url_filters.link_edges(df).collect()) == sorted(want)
+    pages = [(1, "http://p.org/x/a", refresh.format("0; url=../y/b")), (2, "http://p.org/y/b", link.format("http://x.net/es/1")),
+             (3, "http://p.org/q?a=1&b=2", ""), (4, "http://p.org/r", refresh.format("0;url=http://p.org/q?a=1&amp;b=2") + link.format("//x.net/fr/3"))]
+    got = url_filters.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert {r.page_id: r.verdict for r in got.collect()} == {i: "block" for i in (1, 2, 3, 4)}
+
+
 # --- op 9
 
 def test_warc_round_trip(spark, tmp_path):
