@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
 import re
 from collections.abc import Iterator
@@ -14,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
-from ledgerloom.llm.common import Recent, worker_memory
+from ledgerloom.llm.common import Recent, paused_collection, worker_memory
 
 #: Unicode white space, written out so that it does not depend on the pattern library.
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -190,12 +189,12 @@ def encode_texts(
         coder = worker_memory().get((path, pattern, memory))
         if coder is None:
             coder = worker_memory()[path, pattern, memory] = ByteBpe(path, pattern, memory)
-        gc.disable()  # millions of small tuples without cycles
         for batch in batches:
             counts, digests, back, kept = [], [], [], []
             for text in batch.column(1):
                 text = text.as_py() or ""
-                chunks = coder.encode_chunks(text)
+                with paused_collection():
+                    chunks = coder.encode_chunks(text)
                 ids = [i for own, _ in chunks for i in own]
                 counts.append(len(ids))
                 digests.append(hashlib.sha256(",".join([decimals for _, decimals in chunks]).encode()).hexdigest())

@@ -5,8 +5,10 @@ from __future__ import annotations
 import gc
 import sys
 import types
+from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +51,17 @@ def discard(*frames: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def paused_collection():
+    """No search for cycles while millions of small objects without any are made."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
 
 def worker_memory() -> dict:
     """A dictionary that lives as long as the Python worker, so that later tasks find what earlier ones have loaded."""
@@ -74,6 +87,32 @@ class Recent(dict):
             self.clear()
         self[key] = value
 
+    def known(self, keys: set) -> tuple[dict, set]:
+        """What is remembered of ``keys``, in a dictionary of its own that later entries do not push out of, and the
+        keys of which nothing is."""
+        found = {key: self[key] for key in keys if key in self}
+        again = {key: self.old[key] for key in keys if key in self.old and key not in found}
+        self.learn(again)
+        found |= again
+        return found, keys - found.keys()
+
+    def learn(self, entries: dict) -> None:
+        for key, value in entries.items():
+            self.add(key, value)
+
+
+def text_batches(column: pa.Array, size_limit: int) -> Iterator[list[str]]:
+    """The texts of a column in order, about ``size_limit`` characters at a time; null is empty."""
+    held, size = [], 0
+    for text in column:
+        held.append(text.as_py() or "")
+        size += len(held[-1])
+        if size >= size_limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import fingerprints, html_extract, mixing, near_dedup, quality, suffix_dedup, url_filters, warc
 from ledgerloom.llm.byte_bpe import encode_texts
 from ledgerloom.llm.common import table
+from ledgerloom.llm.piece_bpe import encode_pieces
 from ledgerloom.llm.token_counts import token_counts
 from ledgerloom.session import new_path
 
@@ -56,6 +57,12 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep_ids=False)
 
 
+@query("op11_piece_bpe")
+def piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return encode_pieces(table(spark, sf_dir, "documents"), path, keep_ids=False)
+
+
 @query("op8_url_filters", url_filters.ORACLE)
 def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"))

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ledgerloom.llm.byte_bpe import blank_chunks
-from ledgerloom.llm.common import Recent, worker_memory
+from ledgerloom.llm.common import Recent, text_batches, worker_memory
 
 #: Bytes of a batch given to the tokenizer.
 BATCH_BYTES = 1 << 20
-#: Pieces remembered by a worker, and bytes of texts that are looked up together.
+#: Pieces remembered by a worker, and characters of texts that are looked up together.
 MEMORY, TEXT_BYTES = 600_000, 1 << 21
 
 
@@ -58,19 +59,6 @@ def by_bytes(texts: list[str], limit: int) -> Iterator[list[str]]:
         yield held
 
 
-def text_batches(column: pa.Array) -> Iterator[list[str]]:
-    """The texts in order, a few megabytes at a time; so few that a memory holds all their short pieces."""
-    held, size = [], 0
-    for text in column:
-        held.append(text.as_py() or "")
-        size += len(held[-1])
-        if size >= TEXT_BYTES:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def token_counts(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``(id, n_bytes long, n_tokens long)`` for every row.
 
@@ -89,7 +77,7 @@ def token_counts(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", tex
         lengths, cuttable, memory = loaded
         for batch in batches:
             sizes, counts = [], []
-            for texts in text_batches(batch.column(1)):
+            for texts in text_batches(batch.column(1), TEXT_BYTES):
                 sizes += [len(x.encode()) for x in texts]
                 if not cuttable:
                     known = dict.fromkeys(texts)
@@ -99,18 +87,11 @@ def token_counts(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", tex
                     counts += [known.get(x, 0) for x in texts]
                     continue
                 pieces = [blank_chunks(x) for x in texts]
-                long: dict[str, int] = {}
-                new = {p for x in pieces for p in x if p not in memory and p not in memory.old}
+                found, new = memory.known(set(chain.from_iterable(pieces)))
                 for some in by_bytes(list(new), BATCH_BYTES):
-                    for piece, n in zip(some, lengths(some), strict=True):
-                        if len(piece) <= 64:
-                            memory.add(piece, n)
-                        else:
-                            long[piece] = n
-                if long:
-                    counts += [sum(long[p] if p in long else memory[p] for p in x) for x in pieces]
-                else:
-                    counts += [sum(map(memory.__getitem__, x)) for x in pieces]
+                    found |= zip(some, lengths(some), strict=True)
+                memory.learn({piece: found[piece] for piece in new if len(piece) <= 64})
+                counts += [sum(map(found.__getitem__, x)) for x in pieces]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], names=schema.names
             )
