@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import fingerprints, html_extract, mixing, near_dedup, quality, suffix_dedup, url_filters, warc
+from ledgerloom.llm import (
+    fingerprints, html_extract, importance, lexical_search, mixing, near_dedup, quality, suffix_dedup, url_filters, warc,
+)
 from ledgerloom.llm.byte_bpe import encode_texts
 from ledgerloom.llm.common import table
 from ledgerloom.llm.piece_bpe import encode_pieces
@@ -63,6 +65,16 @@ def piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(table(spark, sf_dir, "documents"), path, keep_ids=False)
 
 
+@query("op12_lexical_search", lexical_search.ORACLE)
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_importance_resampling", importance.ORACLE)
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op8_url_filters", url_filters.ORACLE)
 def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"))
