@@ -119,8 +119,10 @@ def edit_and_fingerprint(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     fingerprint to the edited text's and to the next document's.
 
     A null text counts as empty; texts without terms have an empty fingerprint, which is like another empty one. Rows
-    with equal doc_id and text give one row; different texts under one doc_id are separate documents, ordered by a
-    hash; a null doc_id comes last. A table of one document is its own next; an empty table gives an empty result.
+    with equal doc_id and text count as one document, whose row comes as often as theirs; different texts under one
+    doc_id are separate documents, ordered by a hash; a null doc_id comes last. A table of one document is its own next;
+    an empty table gives an empty result. Other columns are not read, whatever their names. A text of any length is one
+    row; its terms are counted in the executor that holds it.
     """
     key = ["d", "z", "h"]  # equal for equal documents, and never null, so that one shuffle serves all steps below
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
@@ -160,7 +162,11 @@ def edit_and_fingerprint(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     nexts = links.join(prints.select(*key, F.col("fp").alias("next_fp")), key).select(
         *[F.col(to[c]).alias(c) for c in key], "next_fp"
     )
-    out = prints.join(nexts, key).withColumn("doc_id", F.when(~F.col("z"), F.col("d")))
+    # Copies of a row come back: their number is counted on the narrow keys, which leaves one row of each before the join.
+    times = base.groupBy(*key).agg(F.count(F.lit(1)).alias("times"))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
+    out = prints.join(nexts, key).join(times, key).select(*prints.columns, "next_fp", copies.alias("copy"))
+    out = out.withColumn("doc_id", F.when(~F.col("z"), F.col("d")))
     return out.select(
         "doc_id", F.col("n").cast("long").alias("n_chars"), "edited_sha256", as_text(F.col("fp")).alias("fingerprint"),
         as_text(F.col("efp")).alias("edited_fingerprint"), likeness(F.col("fp"), F.col("efp")).alias("near_edited"),

@@ -127,6 +127,13 @@ def resolved(link: Column, url: Column) -> Column:
     )
 
 
+def settled(df: DataFrame, **columns: Column) -> DataFrame:
+    """These columns, computed once per row: behind a generator the optimiser does not write their expressions into each
+    place that uses them, which would make a plan many times its size."""
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(F.explode(F.array(row)).alias("row")).select("row.*")
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
     """``(url, target)``: redirects by ``<meta http-equiv=refresh>`` and canonical links of every page. Relative ones
     start from the page's first ``<base href>``, else from its url."""
@@ -136,14 +143,15 @@ def link_edges(pages: DataFrame) -> DataFrame:
     rows = pages.select("url", F.when(F.size(found) > 0, F.get(bases, F.lit(0))).alias("base"), F.explode(found).alias("tag"))
     canonical = F.col("tag").rlike(CANONICAL)
     raw = F.when(canonical, attribute(F.col("tag"), "href")).otherwise(attribute(F.col("tag"), "content"))
-    rows = rows.select("url", canonical.alias("canonical"), raw.alias("raw"), F.trim(attribute(F.col("base"), "href")).alias("base"))
-    rows = rows.select("url", "canonical", decoded(F.col("raw")).alias("raw"), decoded(F.col("base")).alias("base"))
+    both = F.transform(F.array(raw, F.trim(attribute(F.col("base"), "href"))), decoded)
+    rows = settled(rows, url=F.col("url"), canonical=canonical, both=both)
+    rows = rows.select("url", "canonical", F.col("both")[0].alias("raw"), F.col("both")[1].alias("base"))
     refresh = F.concat(*[F.regexp_extract("raw", REFRESH_CONTENT, i) for i in (1, 2, 3)])
     start = F.when(F.col("base") != "", resolved(F.col("base"), F.col("url"))).otherwise(F.col("url"))
     link = F.btrim(F.when(F.col("canonical"), F.col("raw")).otherwise(refresh), F.lit(" \t\n\f\r"))
-    links = rows.select("url", start.alias("start"), link.alias("link"))
-    links = links.select("url", F.when(F.col("link") != "", resolved(F.col("link"), F.col("start"))).alias("target"))
-    return links.filter("target is not null")
+    links = settled(rows, url=F.col("url"), start=start, link=link)
+    target = F.when(F.col("link") != "", resolved(F.col("link"), F.col("start")))
+    return settled(links, url=F.col("url"), target=target).filter("target is not null")
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, redirects: DataFrame | None = None) -> DataFrame:
@@ -161,7 +169,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     edges = link_edges(pages.select("url", "html"))
     if redirects is not None:
         edges = edges.union(redirects.select("url", "target"))
-    edges = edges.select(address(F.col("url")).alias("a"), address(F.col("target")).alias("b"), "target")
+    edges = settled(edges, a=address(F.col("url")), b=address(F.col("target")), target=F.col("target"))
     edges = staged(edges.filter("a is not null and b is not null").distinct(), "links")
     parts = components(edges.select("a", "b"))
 
