@@ -188,10 +188,11 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
         after = staged(small.filter("u <> v").distinct(), "small")
-        size = now.count()
-        if size == after.count() and now.exceptAll(after).isEmpty():
-            break
+        same = now.count() == after.count() and now.exceptAll(after).isEmpty()
+        discard(large, now)
         now = after
+        if same:
+            break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = now.select(F.col("v").alias("u"), "v").distinct()

@@ -60,7 +60,8 @@ def mix(
     seed: str = "mix",
     quality: Column | None = None,
 ) -> DataFrame:
-    """``(doc_id, source, size, source_size, target double, copies long, taken long)``, a row per row of ``docs``.
+    """``(doc_id, source, size, text_hash, source_size, target double, copies long, taken long)``, a row per row of
+    ``docs``.
 
     Reads ``doc_id, source, text`` only. A source whose target is e times its size and a rest is taken e times as a
     whole, every document once per epoch; for the rest its documents are ordered by -ln(u) / w, where u is uniform and
@@ -70,19 +71,20 @@ def mix(
     half a document. No document is taken more than ``max_epochs`` times.
 
     Null texts and texts without words have size 0 and take nothing. A null source is a source, the last one. Rows
-    with equal doc_id, source, size and weight are taken together, so reruns agree with repeated rows too; keys that
-    tie are ordered by doc_id. Null ids sort last. An empty table gives an empty result.
+    with equal doc_id, source and text are taken together, so reruns agree with repeated rows too; the sum then misses
+    the target by at most half of such a group. Keys that tie are ordered by doc_id, size and text hash. Null ids sort
+    last; other columns are not read, whatever their names; a text of any length is one row. An empty table gives an empty result.
     """
     size = word_count(F.col("text"))
     rows = docs.select(
-        "doc_id", "source", size.alias("size"), (quality if quality is not None else quality_weight(F.col("text"), size)).alias("w")
+        "doc_id", "source", size.alias("size"), F.xxhash64("text").alias("text_hash"), (quality if quality is not None else quality_weight(F.col("text"), size)).alias("w")
     )
-    units = rows.groupBy("doc_id", "source", "size", "w").agg(F.count(F.lit(1)).alias("times"))
+    units = rows.groupBy("doc_id", "source", "size", "text_hash", "w").agg(F.count(F.lit(1)).alias("times"))
     chance = uniform(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     units = units.select(
-        "doc_id", "source", "size", "times", (-F.log(chance) / F.col("w")).alias("key"), (F.col("size") * F.col("times")).alias("words")
+        "doc_id", "source", "size", "text_hash", "times", (-F.log(chance) / F.col("w")).alias("key"), (F.col("size") * F.col("times")).alias("words")
     )
-    summed = prefix_sums(units, ["words"], ["key", "doc_id", "size"], ["source"])
+    summed = prefix_sums(units, ["words"], ["key", "doc_id", "size", "text_hash"], ["source"])
     totals = summed.groupBy("source").agg(F.sum("words").alias("source_size"))
     targets = source_targets(totals, weights, share, max_epochs).withColumnRenamed("source", "_source")
     joined = summed.join(targets, F.col("source").eqNullSafe(F.col("_source")))
@@ -93,19 +95,19 @@ def mix(
         joined.withColumn("epochs", epochs.cast("long"))
         .withColumn("copies", F.col("epochs") + more.cast("long"))
         .withColumn("_each", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
-        .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        .select("doc_id", "source", "size", "text_hash", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
     )
 
 
 def apply_mix(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """``docs`` with every document repeated as often as the mix takes it; documents that are not taken go."""
     chosen = plan.filter("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies"
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), "copies"
     ).distinct()
     same = (
         F.col("doc_id").eqNullSafe(F.col("_id"))
         & F.col("source").eqNullSafe(F.col("_source"))
-        & (word_count(F.col("text")) == F.col("_size"))
+        & (F.xxhash64("text") == F.col("_hash"))
     )
     return (
         docs.join(chosen, same)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import components, staged
+from ledgerloom.llm.common import components, discard, staged
 from ledgerloom.llm.rolling import JOIN, Powers, mixed, prefix_hashes
 
 SHINGLE = 5
@@ -52,6 +52,10 @@ def shingle_sets(texts: list[bytes], powers: Powers, k: int = SHINGLE) -> list[n
     return out
 
 
+def _key(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def _texts(batch: pa.RecordBatch, size: int = 1 << 22) -> Iterator[tuple[int, list[bytes]]]:
     """Texts of a batch as bytes, a few megabytes at a time, with the place of the first."""
     held, begin, total = [], 0, 0
@@ -74,7 +78,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts, keys, signatures = [], [], []
             for own in shingle_sets(texts, powers):
                 counts.append(len(own))
-                keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+                keys.append(_key(own))
                 least = np.full(COORDINATES, 2**64 - 1, np.uint64)
                 for part in range(0, len(own), 4096):
                     least = np.minimum(least, (own[None, part : part + 4096] * factors).min(axis=1))
@@ -90,9 +94,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for begin, texts in _texts(batch):
             own = [x.view(np.int64) for x in shingle_sets(texts, powers)]
+            keys = pa.array([_key(x) for x in own], pa.binary())
             offsets = np.r_[0, np.cumsum([len(x) for x in own])]
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(own)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(texts)), lists], names=["rep", "shingles"])
+            arrays = [batch.column(0).slice(begin, len(texts)), keys, lists]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "set_key", "shingles"])
 
 
 def _best(pairs: DataFrame) -> DataFrame:
@@ -117,9 +123,14 @@ def near_links(tokens: DataFrame, sets: DataFrame, rounds: int = 2) -> DataFrame
     pairs; confirmed links contract the components. The last round looks at the documents that still meet one of another
     component under a value; of their pairs, those that also meet under a rare shingle.
     """
-    spark = tokens.sparkSession
+    spark, made = tokens.sparkSession, []
+
+    def held(df: DataFrame, name: str) -> DataFrame:
+        made.append(staged(df, name))
+        return made[-1]
+
     posts = tokens.select("rep", "n", "c", F.explode(F.slice("tokens", 1, F.size("tokens") - F.lit(MATCHES - 1))).alias("token"))
-    posts = staged(posts, "posts")
+    posts = held(posts, "posts")
     parts = tokens.select("rep", F.col("rep").alias("part"))
     links = spark.createDataFrame([], "a long, b long")
 
@@ -129,7 +140,7 @@ def near_links(tokens: DataFrame, sets: DataFrame, rounds: int = 2) -> DataFrame
         full = pairs.join(side["a"], F.col("a") == F.col("_a")).join(side["b"], F.col("b") == F.col("_b"))
         common = F.size(F.array_intersect("set_a", "set_b"))
         whole = F.size("set_a") + F.size("set_b") - common
-        return staged(full.filter(common * 100 >= whole * 75).select("a", "b"), name)
+        return held(full.filter(common * 100 >= whole * 75).select("a", "b"), name)
 
     def matched(pairs: DataFrame) -> DataFrame:
         """Counts collisions: pairs with the number of coordinates they share, if enough."""
@@ -148,36 +159,43 @@ def near_links(tokens: DataFrame, sets: DataFrame, rounds: int = 2) -> DataFrame
         pairs = heads.join(leaders.select("token", "x.*"), "token").withColumnRenamed("part", "part_b")
         pairs = pairs.filter((F.col("part_a") != F.col("part_b")) & _possible("n_a", "c_a", "n", "c"))
         pairs = matched(pairs.select("a", "b", "part_a", "part_b").distinct())
-        found = confirm(staged(_best(pairs), f"pairs{turn}"), f"links{turn}")
+        found = confirm(held(_best(pairs), f"pairs{turn}"), f"links{turn}")
         if found.isEmpty():
             break
-        links = staged(links.union(found), f"all{turn}")
-        parts = staged(_parts(tokens.select("rep"), links), f"parts{turn}")
-    placed = staged(posts.join(parts, "rep"), "placed")
+        links = held(links.union(found), f"all{turn}")
+        parts = held(_parts(tokens.select("rep"), links), f"parts{turn}")
+    placed = held(posts.join(parts, "rep"), "placed")
     least = placed.groupBy("token").agg(F.min("n").alias("n_least"))
     # A partner has at least three quarters of the size, and no less than the least size of the value.
     partner = F.greatest(F.col("n_least") * 100, F.col("n") * 75)
-    able = staged(placed.join(least, "token").filter(F.col("c") * 17500 >= (F.col("n") * 100 + partner) * 75).drop("n_least"), "able")
+    able = held(placed.join(least, "token").filter(F.col("c") * 17500 >= (F.col("n") * 100 + partner) * 75).drop("n_least"), "able")
     several = able.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("token")
     left = able.join(several, "token", "left_semi").select("rep", "part").distinct()
-    pairs = matched(_rare_pairs(left.join(sets, "rep")))
-    return links.union(confirm(staged(pairs.select("a", "b"), "rest"), "more"))
-
+    rare = held(_front(left.join(sets, "rep")), "rare")
+    pairs = matched(_rare_pairs(rare))
+    out = staged(links.union(confirm(held(pairs.select("a", "b"), "rest"), "more")), "near-links")
+    discard(*made)
+    return out
 
-def _rare_pairs(docs: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of ``docs(rep, part, shingles)`` in different parts that can still be similar.
 
-    Here the long lists are skipped: with shingles in one order, rarest first, the first one that two similar sets
-    share lies in the first size - 0.75 size + 1 of each, and what follows it must be long enough for the rest of the
-    overlap. Documents of one family differ in their rarest shingles, so that few of their pairs meet.
-    """
+def _front(docs: DataFrame) -> DataFrame:
+    """``(rep, part, n, i, s)``: the rarest shingles of ``docs(rep, part, shingles)``, each with its place i."""
     n = F.size("shingles")
     items = docs.select("rep", "part", n.alias("n"), F.explode("shingles").alias("s"))
     ranks = items.groupBy("s").agg(F.count(F.lit(1)).alias("k"))
     sets = items.join(ranks, "s").groupBy("rep", "part", "n").agg(F.array_sort(F.collect_list(F.struct("k", "s"))).alias("x"))
     front = F.slice("x", 1, F.col("n") - F.ceil(F.col("n") * 75 / 100).cast("int") + 1)
     posts = sets.select("rep", "part", "n", F.posexplode(front).alias("i", "x")).filter("x.k > 1")
-    posts = staged(posts.select("rep", "part", "n", "i", F.col("x.s").alias("s")), "rare")
+    return posts.select("rep", "part", "n", "i", F.col("x.s").alias("s"))
+
+
+def _rare_pairs(posts: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` in different parts that can still be similar.
+
+    Here the long lists are skipped: with shingles in one order, rarest first, the first one that two similar sets
+    share lies in the first size - 0.75 size + 1 of each, and what follows it must be long enough for the rest of the
+    overlap. Documents of one family differ in their rarest shingles, so that few of their pairs meet.
+    """
     several = posts.groupBy("s").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("s")
     posts = posts.join(several, "s", "left_semi")
     side = {d: posts.select("s", *[F.col(c).alias(f"{c}_{d}") for c in ("rep", "part", "n", "i")]) for d in "ab"}
@@ -209,27 +227,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         own.mapInArrow(_signatures, "doc_id long, n_shingles long, set_key binary, signature array<long>"), "signatures"
     )
     named = signed.filter("doc_id is not null and n_shingles > 0")
-    reps = staged(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")), "reps")
-    holders = reps.select(F.col("rep").alias("doc_id"), F.col("set_key").alias("_key"))
-    coordinates = named.join(holders, "doc_id").filter("set_key = _key").select("doc_id", F.posexplode("signature")).distinct()
-    values = staged(coordinates.select(F.col("doc_id").alias("rep"), F.xxhash64("pos", "col").alias("token")), "values")
+    # A set is known by a number of its own: one id may have several sets, and be the least holder of more than one.
+    reps = named.groupBy("set_key").agg(F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n"))
+    reps = staged(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")
+    holders = reps.select(F.col("doc").alias("doc_id"), "set_key", "rep")
+    coordinates = named.join(holders, ["doc_id", "set_key"]).select("rep", F.posexplode("signature")).distinct()
+    values = staged(coordinates.select("rep", F.xxhash64("pos", "col").alias("token")), "values")
     often = staged(values.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "often")
     shared = values.join(often, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("x"))
-    sizes = reps.groupBy("rep").agg(F.max("n").alias("n"))
     enough = shared.filter(F.size("x") >= MATCHES).select("rep", F.col("x.token").alias("tokens"))
-    tokens = staged(enough.join(sizes, "rep").select("rep", "n", "tokens"), "tokens")
-    wanted = tokens.select(F.col("rep").alias("doc_id"))
-    sets = own.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "rep long, shingles array<long>")
-    sets = staged(sets.distinct(), "sets")
+    signs = staged(enough.join(reps.select("rep", "n"), "rep").select("rep", "n", "tokens"), "tokens")
+    wanted = staged(holders.join(signs.select("rep"), "rep", "left_semi"), "wanted")
+    sets = own.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = sets.mapInArrow(_sets, "doc_id long, set_key binary, shingles array<long>")
+    sets = sets.groupBy("doc_id", "set_key").agg(F.first("shingles").alias("shingles"))
+    sets = staged(sets.join(wanted, ["doc_id", "set_key"]).select("rep", "shingles"), "sets")
     alone = sets.select("rep", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("rep").alias("rep"), F.count(F.lit(1)).alias("k"))
     alone = alone.filter("k = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("alone"))
-    tokens = tokens.join(alone, "rep", "left").withColumn("c", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+    tokens = signs.join(alone, "rep", "left").withColumn("c", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
     tokens = staged(tokens.filter(F.col("c") * 100 >= F.col("n") * 75), "able-tokens")
     links = near_links(tokens, sets)
-    again = named.select("doc_id", "set_key").join(reps, "set_key").filter("doc_id <> rep").select(
-        F.col("doc_id").alias("a"), F.col("rep").alias("b")
+    doc = {x: reps.select(F.col("rep").alias(x), F.col("doc").alias(f"doc_{x}")) for x in "ab"}
+    linked = links.join(doc["a"], "a").join(doc["b"], "b").select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
+    again = named.select("doc_id", "set_key").join(reps, "set_key").filter("doc_id <> doc").select(
+        F.col("doc_id").alias("a"), F.col("doc").alias("b")
     )
-    found = components(links.union(again))
+    found = components(linked.union(again))
+    discard(reps, values, often, signs, wanted, sets, tokens, links)
     return signed.join(found, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

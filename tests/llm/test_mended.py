@@ -6,7 +6,8 @@ from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import fingerprints, url_filters
+from ledgerloom import session
+from ledgerloom.llm import fingerprints, mixing, near_dedup, url_filters
 from tests.llm.conftest import EDGE
 
 
@@ -45,3 +46,34 @@ def test_every_row_has_a_fingerprint(spark, edge):
     assert collections.Counter(r.doc_id for r in out) == collections.Counter(i for i, _, _ in EDGE)
     renamed = edge.select("*", F.lit(1).alias("d"), F.lit("h").alias("h"), F.lit(2).alias("n"), F.lit(3).alias("version"))
     assert sorted(map(repr, fingerprints.edit_and_fingerprint(renamed).collect())) == sorted(map(repr, out))
+
+
+def test_one_id_with_several_texts(spark):
+    words = [f"w{i}" for i in range(120)]
+    x, near_x = " ".join(words), " ".join([*words[:-2], "other", "end"])
+    y = " ".join(f"y{i}" for i in range(100))
+    rows = [(5, x), (5, y), (5, x), (9, near_x), (9, near_x), (7, y + " more"), (8, "alone in the whole wide world")]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.component_id for r in got} == {5: 5, 9: 5, 7: 5, 8: 8}
+    # The least holder of two sets, one of which is near a third document's.
+    rows = [(1, x), (1, y), (2, x), (3, y), (4, near_x)]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {1}
+
+
+def test_mix_tells_texts_of_one_id_apart(spark):
+    rows = [(1, f"{a} {b}" + " w" * 20, "s") for a in "xyz" for b in "pq"] + [(2, "one " * 5, "s"), (3, "t " * 200, "t"), (3, "t " * 200, "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.mix(docs, (1, 3))
+    taken = collections.Counter()
+    for r in plan.collect():
+        taken[r.doc_id, r.text_hash] += r.copies
+    made = mixing.apply_mix(docs, plan).select("doc_id", F.xxhash64("text").alias("h")).collect()
+    assert collections.Counter((r.doc_id, r.h) for r in made) == +taken
+
+
+def test_staged_tables_go(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    assert near_dedup.near_duplicates(documents).count() == documents.count()
+    assert len(list(tmp_path.iterdir())) <= 2  # the signatures and the components, which the result reads
