@@ -34,9 +34,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id; a repeated row stays once."""
+    """One document of each group of near duplicates, the one with the least id; a repeated row stays once, different texts under one id
+    all stay."""
     kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    once = Window.partitionBy("doc_id").orderBy("text")
+    once = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text")
     named = docs.join(kept, "doc_id", "left_semi").withColumn("_n", F.row_number().over(once)).filter("_n = 1")
     return named.select(*docs.columns).union(docs.filter("doc_id is null"))
 
