@@ -196,4 +196,6 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = now.select(F.col("v").alias("u"), "v").distinct()
-    return now.union(roots).select(F.col("u").alias("node"), F.col("v").alias("component"))
+    out = now.union(roots).select(F.col("u").alias("node"), F.col("v").alias("component"))
+    out._staged_at = now._staged_at  # for ``discard``
+    return out

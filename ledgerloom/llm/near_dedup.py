@@ -163,7 +163,9 @@ def near_links(tokens: DataFrame, sets: DataFrame, rounds: int = 2) -> DataFrame
         if found.isEmpty():
             break
         links = held(links.union(found), f"all{turn}")
-        parts = held(_parts(tokens.select("rep"), links), f"parts{turn}")
+        found = components(links)
+        parts = held(_parts(tokens.select("rep"), found), f"parts{turn}")
+        discard(found)
     placed = held(posts.join(parts, "rep"), "placed")
     least = placed.groupBy("token").agg(F.min("n").alias("n_least"))
     # A partner has at least three quarters of the size, and no less than the least size of the value.
@@ -205,9 +207,8 @@ def _rare_pairs(posts: DataFrame) -> DataFrame:
     return met.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
-def _parts(reps: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links).withColumnRenamed("node", "rep")
-    return reps.join(found, "rep", "left").select("rep", F.coalesce("component", "rep").alias("part"))
+def _parts(reps: DataFrame, found: DataFrame) -> DataFrame:
+    return reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("part"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
