@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks import bindings as b
 from checks.bindings import Registry, rnd
 from checks.flow_queries import ctxn
-from checks.score_queries import COEFFICIENTS, scorefeat
+from checks.score_queries import COEFFICIENTS, HASH_SQL, scorefeat
 from ledgerloom.operators import evaluate, sampling
-from ledgerloom.plans import memo, risk
+from ledgerloom.plans import boosting, memo, risk
 from ledgerloom.plans.consumer_features import consumer_features
 from ledgerloom.session import cut_lineage, new_path
 
@@ -102,7 +103,33 @@ def risk_gbt(spark, sf_dir):
 
 @query("risk_gbt_undersampled")
 def risk_gbt_undersampled(spark, sf_dir):
-    return risk_metrics(spark, sf_dir, "undersampled_boosting", lambda d: risk.boosted(10, 0.1, 4), "undersampled")
+    data = risk_data(spark, sf_dir)
+    model = boosting.fit_undersampled(data.train, data.features, risk.LABEL, risk.KEY)
+    scored = data.test.select(risk.KEY, risk.LABEL, model.probability(vector_to_array("features")).alias("p"))
+    out = evaluate.binary_metrics(cut_lineage(scored), "undersampled_boosting", risk.LABEL, "p")
+    return out.select("model", *[rnd(c) for c in out.columns[1:]])
+
+
+@query(
+    "undersampled_draws",
+    f"""
+WITH {b.CONSUMER},
+d AS (
+  SELECT consumer_id, CAST(dq_target AS INT) AS y FROM consumer WHERE dq_target IS NOT NULL),
+n AS (SELECT count(*) FILTER (WHERE y = 0) AS n0, count(*) FILTER (WHERE y = 1) AS n1 FROM d),
+t AS (
+  SELECT d.*, CASE WHEN y = 1 THEN 4294967296 * least(n0, n1) // greatest(n1, 1)
+                   ELSE 4294967296 * least(n0, n1) // greatest(n0, 1) END AS threshold
+  FROM d, n),
+r AS (
+  SELECT t.*, unnest(range(200)) AS round FROM t)
+SELECT CAST(round AS INT) AS round, count(*) FILTER (WHERE taken AND y = 0) AS negatives,
+       count(*) FILTER (WHERE taken AND y = 1) AS positives
+FROM (SELECT *, {HASH_SQL.format(key="'42|' || round || '|' || consumer_id")} < threshold AS taken FROM r) GROUP BY round
+""",
+)
+def undersampled_draws(spark, sf_dir):
+    return boosting.round_draws(b.consumer(spark, sf_dir), "dq_target", "consumer_id")
 
 
 @query("risk_svm")

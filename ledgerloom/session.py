@@ -65,7 +65,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     later readers take only the columns they need."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``staged`` wrote for these frames, once nothing that is still to run reads it."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(frame._staged_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # Lines up to which a lookup table is sent to every executor.
