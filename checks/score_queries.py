@@ -162,11 +162,12 @@ def smote_rows(spark, sf_dir):
     "tomek_links",
     with_views(
         b.POINTS,
-        f"""closest AS (SELECT id, neighbor_id, y, ny, d FROM (
-  SELECT a.id, c.id AS neighbor_id, a.y, c.y AS ny, {PAIRS_SQL} AS d, row_number() OVER (PARTITION BY a.id ORDER BY {PAIRS_SQL}, c.id) AS rank
-  FROM points a, points c WHERE a.id <> c.id) WHERE rank = 1)""",
-        body="""SELECT p.id, p.neighbor_id, p.y AS label, p.ny AS neighbor_label, round(p.d, 6) AS distance FROM closest p
-JOIN closest q ON q.id = p.neighbor_id AND q.neighbor_id = p.id WHERE p.id < p.neighbor_id AND p.y <> p.ny""",
+        f"pairs AS MATERIALIZED (SELECT a.id AS a, c.id AS c, {PAIRS_SQL} AS d FROM points a JOIN points c ON a.id < c.id)",
+        """closest AS MATERIALIZED (SELECT id, min(struct_pack(d := d, n := n)) AS best FROM (
+  SELECT a AS id, c AS n, d FROM pairs UNION ALL SELECT c, a, d FROM pairs) GROUP BY id)""",
+        body="""SELECT p.id, p.best.n AS neighbor_id, x.y AS label, z.y AS neighbor_label, round(p.best.d, 6) AS distance
+FROM closest p JOIN closest q ON q.id = p.best.n AND q.best.n = p.id JOIN points x ON x.id = p.id JOIN points z ON z.id = p.best.n
+WHERE p.id < p.best.n AND x.y <> z.y""",
     ),
 )
 def tomek_links(spark, sf_dir):

@@ -1,15 +1,16 @@
 """Exact nearest neighbours, and the class balancing built on them (SMOTE, Tomek links).
 
-Points are put into the cell of their nearest pivot and cells are cut into blocks of bounded size.
-A first pass inside each block gives every point an upper bound for the distance of its k-th
-neighbour. A point then only visits the cells that can hold something closer (triangle inequality),
-one bounded block at a time, and each visit returns at most k rows. No pair table is ever built and
-no neighbour is missed.
+Space is split again and again until each block holds a bounded number of points (``blocks``). A
+first pass inside each block gives every point an upper bound for the distance of its k-th
+neighbour. A point then only visits the blocks that can hold something closer, by their centre and
+radius and by the splits between, and each visit returns at most k rows. No pair table is ever built
+and no neighbour is missed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -17,11 +18,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import hash_number, one_row
+from ledgerloom.operators.blocks import BlockTree
 from ledgerloom.operators.sampling import take_by_hash
 from ledgerloom.session import cut_lineage
 
 BLOCK_ROWS = 4096
-MAX_PIVOTS = 64
+#: Blocks at most, about: what every task gets of the tree. More rows make larger blocks.
+MAX_BLOCKS = 4096
+#: Points of a sample that splits are learned from, and passes over the points for that.
+SAMPLE_ROWS, MAX_SPLITS = 20_000, 8
 # Slack for rounding when distances are compared with bounds.
 SLACK = 1e-9
 
@@ -60,7 +65,7 @@ def _closest(query_ids, queries, ids, points, k: int) -> pd.DataFrame:
 
 def nearest(
     points: DataFrame, k: int, key: str = "id", vector: str = "v", block_rows: int = BLOCK_ROWS,
-    max_pivots: int = MAX_PIVOTS,
+    max_blocks: int = MAX_BLOCKS,
 ) -> DataFrame:
     """(id, neighbor_id, rank, distance) of the k nearest other points, Euclidean, exact; ties by id.
 
@@ -76,7 +81,7 @@ def nearest(
         .agg(F.array_sort(F.collect_list("id")).alias("copies"))
         .select(F.col("copies")[0].alias("id"), "v", "copies")
     )
-    found = _nearest_distinct(groups.select("id", "v"), k, block_rows, max_pivots)
+    found = _nearest_distinct(groups.select("id", "v"), k, block_rows, max_blocks)
     others = found.select("id", "neighbor_id", "distance").join(
         groups.select(F.col("id").alias("neighbor_id"), "copies"), "neighbor_id"
     )
@@ -100,36 +105,66 @@ def nearest(
     )
 
 
-def _nearest_distinct(base: DataFrame, k: int, block_rows: int, max_pivots: int) -> DataFrame:
-    """The search among distinct points (id, v).
+@dataclass
+class Located:
+    """Distinct points in blocks, ``(id, v, block, bound)``, with the tree and the number of points per block."""
 
-    The driver only sees the pivots and one line of counts per cell. The partitioned points are
-    checkpointed, because both sides of the search read them.
+    points: DataFrame
+    tree: BlockTree
+    sizes: dict[int, int]
+
+
+def _sampled(points: DataFrame, limit: int) -> np.ndarray:
+    rows = points.orderBy(hash_number("id"), "id").limit(limit).collect()
+    return np.array([r["v"] for r in rows], dtype=np.float64)
+
+
+def _located(base: DataFrame, k: int, block_rows: int, max_blocks: int) -> Located | None:
+    """Points in blocks of at most about ``block_rows`` rows, each with a bound for the distance of its k-th neighbour.
+
+    The driver sees samples of SAMPLE_ROWS points and one line per block; there are at most about ``max_blocks``, larger
+    ones if there are more rows. The located points are checkpointed, because both sides of the search read them.
     """
-    spark = base.sparkSession
     id_type = base.schema["id"].dataType.simpleString()
-    chosen = base.orderBy(hash_number("id"), "id").limit(max_pivots).collect()
-    if not chosen:
-        return spark.createDataFrame([], f"id {id_type}, neighbor_id {id_type}, rank int, distance double")
-    pivots = np.array([r["v"] for r in chosen], dtype=np.float64)
-    between = _distances(pivots, pivots)
+    n = base.count()
+    if not n:
+        return None
+    block_rows = max(block_rows, -(-n // max_blocks))
 
-    def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def share(rows: int, sample: int) -> int:
+        return max(2, block_rows * sample // (2 * rows))
+
+    sample = _sampled(base, SAMPLE_ROWS)
+    tree = BlockTree(sample, block_rows if n <= len(sample) else share(n, len(sample)))
+
+    def to_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        centres = tree.centres()
         for batch in batches:
             if len(batch):
-                distance = _distances(_matrix(batch["v"]), pivots)
-                cell = distance.argmin(axis=1)
-                yield batch.assign(cell=cell.astype("int32"), from_pivot=distance[np.arange(len(cell)), cell])
-
-    celled = base.mapInPandas(to_cells, f"id {id_type}, v array<double>, cell int, from_pivot double")
-    cells = {
-        r["cell"]: r
-        for r in celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("from_pivot").alias("radius")).collect()
-    }
-    n_blocks = {c: -(-r["n"] // block_rows) for c, r in cells.items()}
-    radius = {c: r["radius"] for c, r in cells.items()}
-    block_count = F.create_map(*[F.lit(x) for pair in n_blocks.items() for x in pair])[F.col("cell")]
-    blocked = celled.withColumn("block", F.pmod(F.xxhash64(F.col("id").cast("string")), block_count).cast("int"))
+                matrix = _matrix(batch["v"])
+                block = tree.assign(matrix)
+                centre = np.array([centres[b] for b in block])
+                yield batch.assign(block=block, away=np.sqrt(((matrix - centre) ** 2).sum(axis=1)))
+
+    whole = set()
+    for turn in range(MAX_SPLITS):
+        blocked = base.mapInPandas(to_blocks, f"id {id_type}, v array<double>, block int, away double")
+        lines = blocked.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius")).collect()
+        large = [r for r in lines if r["n"] > 2 * block_rows and r["block"] not in whole]
+        if not large or turn == MAX_SPLITS - 1:
+            break
+        limit = max(64, SAMPLE_ROWS // len(large))
+        order = F.row_number().over(Window.partitionBy("block").orderBy(hash_number("id"), "id"))
+        wanted = blocked.filter(F.col("block").isin([r["block"] for r in large])).withColumn("_n", order)
+        parts: dict[int, list] = {}
+        for r in wanted.filter(F.col("_n") <= limit).select("block", "v").collect():
+            parts.setdefault(r["block"], []).append(r["v"])
+        for r in large:
+            own = np.array(parts[r["block"]], dtype=np.float64)
+            if not tree.grow(r["block"], own, share(r["n"], len(own))):
+                whole.add(r["block"])
+    sizes = {r["block"]: r["n"] for r in lines}
+    tree.measure({r["block"]: r["radius"] * (1 + SLACK) for r in lines})
 
     def bound_in_block(group: pd.DataFrame) -> pd.DataFrame:
         matrix = _matrix(group["v"])
@@ -140,52 +175,61 @@ def _nearest_distinct(base: DataFrame, k: int, block_rows: int, max_pivots: int)
                 bound[part] = np.partition(_distances(matrix[part], matrix), k, axis=1)[:, k]
         return group.assign(bound=bound)
 
-    located = cut_lineage(
-        blocked.groupBy("cell", "block").applyInPandas(
-            bound_in_block, f"id {id_type}, v array<double>, cell int, from_pivot double, block int, bound double"
-        )
+    points = blocked.drop("away").groupBy("block").applyInPandas(
+        bound_in_block, f"id {id_type}, v array<double>, block int, bound double"
     )
+    return Located(cut_lineage(points), tree, sizes)
+
 
-    def routes(batch: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
-        """For each cell, which rows of the batch may have a closer point in it."""
-        distance = _distances(_matrix(batch["v"]), pivots)
-        own = batch["cell"].to_numpy()
-        reach = batch["bound"].to_numpy() * (1 + SLACK) + SLACK
-        for cell in cells:
-            by_radius = distance[:, cell] - radius[cell]
-            gap = between[own, cell]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                by_plane = (distance[:, cell] ** 2 - distance[np.arange(len(own)), own] ** 2) / (2 * gap)
-            by_plane = np.where(gap > 0, by_plane, -np.inf)
-            yield cell, np.maximum(by_radius, by_plane) <= reach
+def _routes(tree: BlockTree, batch: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    return tree.routes(_matrix(batch["v"]), batch["bound"].to_numpy() * (1 + SLACK) + SLACK)
+
+
+def _visits(located: Located) -> dict[int, int]:
+    """How many points visit each block: one line per block for the driver."""
+    tree = located.tree
 
     def count_routes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                yield pd.DataFrame([{"cell": c, "n": int(hit.sum())} for c, hit in routes(batch)])
+                yield pd.DataFrame([{"block": b, "n": len(at)} for b, at in _routes(tree, batch)], columns=["block", "n"])
+
+    counted = located.points.mapInPandas(count_routes, "block int, n long").groupBy("block").agg(F.sum("n").alias("n"))
+    return {r["block"]: r["n"] for r in counted.collect()}
+
 
-    visits = {
-        r["cell"]: r["n"]
-        for r in located.mapInPandas(count_routes, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
-    }
-    n_chunks = {c: max(1, -(-n // block_rows)) for c, n in visits.items()}
+def visited_rows(points: DataFrame, k: int, key: str = "id", vector: str = "v", block_rows: int = BLOCK_ROWS) -> int:
+    """Pairs of points whose distance the search looks at, for distinct points."""
+    located = _located(points.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v")), k, block_rows, MAX_BLOCKS)
+    return sum(n * located.sizes[b] for b, n in _visits(located).items()) if located else 0
+
+
+def _nearest_distinct(base: DataFrame, k: int, block_rows: int, max_blocks: int) -> DataFrame:
+    """The search among distinct points (id, v)."""
+    id_type = base.schema["id"].dataType.simpleString()
+    located = _located(base, k, block_rows, max_blocks)
+    if located is None:
+        return base.sparkSession.createDataFrame([], f"id {id_type}, neighbor_id {id_type}, rank int, distance double")
+    tree = located.tree
+    n_chunks = {b: max(1, -(-n // block_rows)) for b, n in _visits(located).items()}
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
-            for cell, hit in routes(batch):
-                if hit.any():
-                    rows = batch.loc[hit, ["id", "v", "spread"]]
-                    chunk = (rows["spread"] % n_chunks[cell]).astype("int32")
-                    for block in range(n_blocks[cell]):
-                        yield rows[["id", "v"]].assign(cell=cell, block=block, chunk=chunk)
-
-    place = f"id {id_type}, v array<double>, cell int, block int, chunk int"
+            for block, at in _routes(tree, batch):
+                rows = batch.iloc[at]
+                chunk = (rows["spread"] % n_chunks[block]).astype("int32")
+                yield rows[["id", "v"]].assign(block=block, chunk=chunk)
+
     spread = F.pmod(F.xxhash64(F.concat(F.lit("q"), F.col("id").cast("string"))), F.lit(1 << 31)).cast("bigint")
-    queries = located.withColumn("spread", spread).mapInPandas(send, place)
-    chunk_count = F.create_map(*[F.lit(x) for pair in n_chunks.items() for x in pair])[F.col("cell")]
-    data = located.select("id", "v", "cell", "block", F.explode(F.sequence(F.lit(0), chunk_count - 1)).alias("chunk"))
+    queries = located.points.withColumn("spread", spread).mapInPandas(send, f"id {id_type}, v array<double>, block int, chunk int")
+    split = {b: n for b, n in n_chunks.items() if n > 1}
+    chunk_count = F.lit(1)
+    if split:  # one entry per block at most
+        counts = F.create_map(*[F.lit(x) for pair in split.items() for x in pair])
+        chunk_count = F.coalesce(F.try_element_at(counts, F.col("block")), F.lit(1))
+    data = located.points.select("id", "v", "block", F.explode(F.sequence(F.lit(0), chunk_count - 1)).alias("chunk"))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -195,8 +239,8 @@ def _nearest_distinct(base: DataFrame, k: int, block_rows: int, max_pivots: int)
         )
 
     found = (
-        queries.groupBy("cell", "block", "chunk")
-        .cogroup(data.groupBy("cell", "block", "chunk"))
+        queries.groupBy("block", "chunk")
+        .cogroup(data.groupBy("block", "chunk"))
         .applyInPandas(search, f"id {id_type}, neighbor_id {id_type}, distance double")
     )
     order = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbor_id"))

@@ -27,7 +27,7 @@ def test_nearest_is_exact(spark, shape):
         matrix = np.repeat(rng.integers(0, 3, (20, 2)).astype(float), 10, axis=0)
     ids = list(range(len(matrix)))
     df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in zip(ids, matrix)], "id long, v array<double>")
-    rows = neighbors.nearest(df, 3, block_rows=16, max_pivots=6).collect()
+    rows = neighbors.nearest(df, 3, block_rows=16).collect()
     got = {}
     for r in sorted(rows, key=lambda r: (r["id"], r["rank"])):
         got.setdefault(r["id"], []).append(r["neighbor_id"])
