@@ -14,6 +14,9 @@ SAMPLES = 64
 #: their overlapping shingles of SHINGLE code points, so that an edit changes the terms next to it only.
 WORD_CHARS = 16
 SHINGLE = 4
+#: A bid is only worked out if it may be below this number divided by the text's whole weight. The least bid is above that
+#: with a chance of exp(-BOUND), 4e-11; such a sample has no winner and its value stands for that.
+BOUND = 24.0
 
 
 def term_codes(text: Column) -> Column:
@@ -35,52 +38,57 @@ def term_codes(text: Column) -> Column:
 
 
 def weighted_terms(text: Column) -> Column:
-    """``array<struct<term long, log_weight double>>``: the text's terms; a term weighs its code points (a shingle 1)
-    times its number of occurrences."""
+    """``array<struct<term long, log_weight double, bound double>>``: the text's terms; a term weighs its code points (a
+    shingle 1) times its number of occurrences. ``bound`` is BOUND times the term's share of the whole weight."""
 
     def counted(codes: Column) -> Column:
         n = F.size(codes)
         places = F.sequence(F.lit(0), n - 1)
         starts = F.filter(places, lambda i: (i == 0) | (F.get(codes, i) != F.get(codes, i - 1)))
+        whole = F.aggregate(codes, F.lit(0).cast("long"), lambda sum, code: sum + code.bitwiseAND(F.lit(31)))
 
-        def weigh(begin: Column) -> Column:
+        def weigh(begin: Column, total: Column) -> Column:
             def one(start: Column, j: Column) -> Column:
                 times = F.coalesce(F.get(begin, j + 1), n) - start
                 term = F.get(codes, start)
-                return F.struct(term.alias("term"), F.log((times * term.bitwiseAND(F.lit(31))).cast("double")).alias("log_weight"))
+                weight = (times * term.bitwiseAND(F.lit(31))).cast("double")
+                return F.struct(term.alias("term"), F.log(weight).alias("log_weight"), (weight * F.lit(BOUND) / total).alias("bound"))
 
             return F.transform(begin, one)
 
-        return F.when(n > 0, let(starts, weigh))
+        return F.when(n > 0, let(starts, lambda begin: let(whole, lambda total: weigh(begin, total))))
 
     return let(F.sort_array(term_codes(text)), counted)
 
 
-def _unit(bits: Column) -> Column:
-    """32 bits as a number in (0, 1)."""
-    return (bits.cast("double") + 0.5) / F.lit(float(2**32))
+def _mask(i: int) -> int:
+    """What tells draw i of a term from its other draws: i + 1 golden ratios, modulo 2**64 and signed."""
+    return ((i + 1) * 0x9E3779B97F4A7C15 + 2**63) % 2**64 - 2**63
 
 
-def sample(term: Column, log_weight: Column, k: int) -> Column:
-    """A term's bid for sample k: its size in the upper bits, what it stands for in the lower 32; the least bid wins.
+def _middle(bits: Column) -> Column:
+    """Some bits as a number, the middle of its step."""
+    return bits.cast("double") + 0.5
+
+
+def sample(term: Column, log_weight: Column, bound: Column, k: int) -> Column:
+    """A term's bid for sample k, ln a; null if a is surely above what wins. The least bid wins.
 
     With r, c from Gamma(2, 1) and b uniform, all fixed by term and k: t = floor(ln w / r + b) and
     ln a = ln c - r (t - b + 1). Two weight vectors agree in (term, t) of the least a with a probability equal to
-    their generalised Jaccard similarity.
-    """
-    low = F.lit(0xFFFFFFFF)
-    one, two = F.xxhash64(term, F.lit(2 * k)), F.xxhash64(term, F.lit(2 * k + 1))
-    r = -F.log(_unit(one.bitwiseAND(low)) * _unit(F.shiftrightunsigned(one, 32)))
-    c = -F.log(_unit(F.shiftrightunsigned(two, 42).bitwiseAND(F.lit(0x3FFFFF)) * 1024) * _unit(F.shiftrightunsigned(two, 20).bitwiseAND(F.lit(0x3FFFFF)) * 1024))
-    b = two.bitwiseAND(F.lit(0xFFFFF)).cast("double") / F.lit(float(2**20))
-    return _bid(r, c, b, log_weight, one)
+    their generalised Jaccard similarity. Term, k and t fix ln a to its last digit, so the bid itself stands for them.
 
-
-def _bid(r: Column, c: Column, b: Column, log_weight: Column, seed: Column) -> Column:
-    t = F.floor(log_weight / r + b)
-    log_a = F.log(c) - r * (t.cast("double") - b + 1.0)
-    size = F.floor((log_a + 256.0) * F.lit(float(2**22)))
-    return F.shiftleft(size, 32).bitwiseOR(F.xxhash64(seed, t).bitwiseAND(F.lit(0xFFFFFFFF)))
+    For a text, the a of its terms are exponential with the rates w. As a is at least c exp(-r) / w, that is
+    -ln(u3 u4) u1 u2 / w, and -ln(p) at least 2 (1 - p) / (1 + p), most terms are passed over without a logarithm.
+    """
+    one, two = [F.xxhash64(term.bitwiseXOR(F.lit(_mask(i)))) for i in (2 * k, 2 * k + 1)]
+    low, part = F.lit(0xFFFFFFFF), F.lit(0x3FFFFF)
+    u12 = _middle(one.bitwiseAND(low)) * _middle(F.shiftrightunsigned(one, 32)) * F.lit(2.0**-64)
+    u34 = _middle(F.shiftrightunsigned(two, 42)) * _middle(F.shiftrightunsigned(two, 20).bitwiseAND(part)) * F.lit(2.0**-44)
+    b = two.bitwiseAND(F.lit(0xFFFFF)).cast("double") * F.lit(2.0**-20)
+    r, c = -F.log(u12), -F.log(u34)
+    t = F.floor(log_weight / r + b).cast("double")
+    return F.when((1.0 - u34) * u12 * 2.0 < bound * (u34 + 1.0), F.log(c) - r * (t - b + 1.0))
 
 
 def fingerprints(rows: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
@@ -88,13 +96,13 @@ def fingerprints(rows: DataFrame, keys: list[str], text: str, samples: int = SAM
     equal keys count once and must have equal texts. If the rows are already distributed by some of the keys, nothing
     is shuffled."""
     bids = rows.select(*keys, F.explode_outer(weighted_terms(F.coalesce(F.col(text), F.lit("")))).alias("t"))
-    bids = bids.select(*keys, F.col("t")["term"].alias("term"), F.col("t")["log_weight"].alias("log_weight"))
+    term = {c: F.col("t")[c].alias(c) for c in ("term", "log_weight", "bound")}
+    bids = bids.select(*keys, *term.values())
     least = bids.groupBy(*keys).agg(
-        *[F.min(sample(F.col("term"), F.col("log_weight"), k)).alias(f"_s{k}") for k in range(samples)]
+        F.max("bound").alias("_bound"), *[F.min(sample(*[F.col(c) for c in term], k)).alias(f"_s{k}") for k in range(samples)]
     )
-    signed = lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int")  # noqa: E731  the lower 32 bits
-    values = F.array(*[signed(F.col(f"_s{k}")) for k in range(samples)])
-    return least.select(*keys, F.when(F.col("_s0").isNotNull(), values).alias("fingerprint"))
+    values = F.array(*[F.hash(F.lit(k), F.col(f"_s{k}")) for k in range(samples)])
+    return least.select(*keys, F.when(F.col("_bound").isNotNull(), values).alias("fingerprint"))
 
 
 def likeness(a: Column, b: Column) -> Column:
