@@ -9,8 +9,8 @@ from checks import bindings as b
 from checks.bindings import Registry, rnd
 from checks.flow_queries import ctxn
 from checks.score_queries import COEFFICIENTS, HASH_SQL, scorefeat
-from ledgerloom.operators import evaluate, sampling
-from ledgerloom.plans import boosting, memo, risk
+from ledgerloom.operators import evaluate, sampling, scoring
+from ledgerloom.plans import attributions, boosting, memo, risk
 from ledgerloom.plans.consumer_features import consumer_features
 from ledgerloom.session import cut_lineage, new_path
 
@@ -93,7 +93,12 @@ def risk_logreg(spark, sf_dir):
 
 @query("risk_forest")
 def risk_forest(spark, sf_dir):
-    return risk_metrics(spark, sf_dir, "balanced_forest", lambda d: risk.forest(20, 8), "undersampled")
+    return risk_metrics(spark, sf_dir, "balanced_forest", lambda d: risk.forest(), "undersampled")
+
+
+@query("risk_plain_forest")
+def risk_plain_forest(spark, sf_dir):
+    return risk_metrics(spark, sf_dir, "random_forest", lambda d: risk.forest())
 
 
 @query("risk_gbt")
@@ -148,10 +153,25 @@ def model_comparison(spark, sf_dir):
 def top_features(spark, sf_dir):
     table = cut_lineage(risk_table(spark, sf_dir))
     data = risk.prepare(table, risk_columns(table))
-    model = risk.forest(20, 8).fit(data.train)
+    model = risk.forest().fit(data.train)
     return risk.importances(model, data.features, table, "dq_target", 10)
 
 
+@query("tree_reason_codes")
+def tree_reason_codes(spark, sf_dir):
+    """Probabilities of a forest for the test side, three reason codes each, and whether all contributions add up."""
+    data = risk_data(spark, sf_dir)
+    model = risk.forest().fit(data.train)
+    trees = attributions.tree_model(model, spark)
+    scored = risk.positive_probability(model, data.test, "probability")
+    scored = scored.withColumn("_added", trees.contributions(vector_to_array("features")))
+    total = F.aggregate("_added", F.lit(trees.base), lambda done, x: done + x)
+    codes = scoring.reason_codes(scored, {f: F.get("_added", F.lit(i)) for i, f in enumerate(data.features)})
+    reasons = [c for i in (1, 2, 3) for c in (F.col(f"top_{i}_feature"), rnd(f"top_{i}_score"))]
+    adds_up = (F.abs(total - F.col("probability")) < 1e-9).alias("adds_up")
+    return codes.select("consumer_id", rnd("probability"), scoring.risk_score(F.col("probability")).alias("score"), *reasons, adds_up)
+
+
 @query("tuned_gbt")
 def tuned_gbt(spark, sf_dir):
     data = risk_data(spark, sf_dir)

@@ -202,6 +202,24 @@ def ks_two_sample(spark, sf_dir):
     )
 
 
+@query(
+    "ks_p_value",
+    with_views(
+        b.LTXN,
+        SIDED,
+        """gap AS (
+  SELECT max(abs(a / na - b / nb)) * sqrt(max(na) * max(nb) / (max(na) + max(nb))) AS x, max(abs(a / na - b / nb)) AS statistic FROM (
+    SELECT sum(x) OVER (ORDER BY amount) AS a, sum(y) OVER (ORDER BY amount) AS b, sum(x) OVER () AS na, sum(y) OVER () AS nb FROM (
+      SELECT amount, count(*) FILTER (WHERE side = 'train') AS x, count(*) FILTER (WHERE side = 'test') AS y FROM sided GROUP BY 1)))""",
+        body="""SELECT round(statistic, 6) AS statistic, round(CASE WHEN x < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, (
+  SELECT sum((CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0 * k * k * x * x)) FROM range(1, 101) AS r(k)))) END, 6) AS p_value FROM gap""",
+    ),
+)
+def ks_p_value(spark, sf_dir):
+    compared = profile.ks_two_sample(sided(spark, sf_dir), "amount", "side", "train", "test")
+    return profile.ks_p_value(compared).select(rnd("statistic"), rnd("p_value"))
+
+
 @query(
     "category_by_month",
     with_views(

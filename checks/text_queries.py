@@ -8,6 +8,7 @@ from checks import bindings as b
 from checks.bindings import Registry, big, rnd, with_views
 from checks.bindings import text as as_text
 from ledgerloom.operators import profile, sampling, text
+from ledgerloom.plans import bayes
 
 registry = Registry()
 query = registry.add
@@ -210,6 +211,42 @@ def tfidf_terms(spark, sf_dir):
     return text.tfidf_terms(b.memo(spark, sf_dir), fitted_terms(spark, sf_dir)).select("id", "term", rnd("weight"))
 
 
+@query(
+    "bayes_scores",
+    with_views(
+        b.MEMO,
+        TERMS,
+        "raw AS (SELECT id, side, term, tf * idf AS w FROM tf JOIN vocab USING (term))",
+        "tfidf AS (SELECT id, side, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS weight FROM raw)",
+        f"""labelled AS (SELECT id, category FROM memo WHERE category IS NOT NULL AND {SIDE_SQL.format(key='id')} = 'train')""",
+        "classes AS (SELECT category, ln(count(*) / (SELECT count(*) FROM labelled)) AS prior FROM labelled GROUP BY 1)",
+        "weights AS (SELECT category, term, sum(weight) AS w FROM tfidf JOIN labelled USING (id) GROUP BY 1, 2)",
+        "known AS (SELECT DISTINCT term FROM weights)",
+        """below AS (
+  SELECT category, coalesce(sum(w), 0) + (SELECT count(*) FROM known) AS total FROM classes LEFT JOIN weights USING (category) GROUP BY 1)""",
+        """model AS (
+  SELECT c.category, k.term, ln((coalesce(w, 0) + 1) / total) AS ll FROM classes c JOIN below USING (category) CROSS JOIN known k
+  LEFT JOIN weights v ON v.category = c.category AND v.term = k.term)""",
+        """sums AS (
+  SELECT id, model.category, sum(weight * ll) AS s FROM tfidf JOIN model USING (term) WHERE side = 'test' GROUP BY 1, 2)""",
+        f"""scores AS (
+  SELECT memo.id, memo.category, c.category AS predicted, coalesce(s, 0) + prior AS score
+  FROM memo CROSS JOIN classes c LEFT JOIN sums ON sums.id = memo.id AND sums.category = c.category
+  WHERE {SIDE_SQL.format(key='memo.id')} = 'test')""",
+        body="""SELECT id, category, predicted, round(1 / total, 6) AS confidence, round(score, 6) AS log_score FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, predicted) AS rn,
+    sum(exp(score - best)) OVER (PARTITION BY id) AS total
+  FROM (SELECT *, max(score) OVER (PARTITION BY id) AS best FROM scores)) WHERE rn = 1""",
+    ),
+)
+def bayes_scores(spark, sf_dir):
+    sides = sampling.split_side(b.memo(spark, sf_dir), "id")
+    weights = text.tfidf_terms(sides, fitted_terms(spark, sf_dir))
+    model = bayes.fit_bayes(sides.filter("side = 'train'"), weights)
+    out = model.predict(sides.filter("side = 'test'"), weights)
+    return out.select("id", "category", "predicted", rnd("confidence"), rnd(F.array_max("class_log_scores"), "log_score"))
+
+
 @query(
     "label_index",
     with_views(

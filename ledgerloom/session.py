@@ -73,9 +73,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def discard(*frames: DataFrame) -> None:
     """Delete what ``staged`` wrote for these frames, once nothing that is still to run reads it."""
     for frame in frames:
-        spark = frame.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(frame._staged_at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(frame.sparkSession, frame._staged_at)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a path below the shared folder, on whatever file system it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 # Lines up to which a lookup table is sent to every executor.
