@@ -36,7 +36,7 @@ def memo_logreg(spark, sf_dir):
 
 @query("memo_forest")
 def memo_forest(spark, sf_dir):
-    return memo_report(spark, sf_dir, memo.forest(20, 10))
+    return memo_report(spark, sf_dir, memo.forest())
 
 
 @query("memo_boosted")
@@ -103,7 +103,7 @@ def risk_plain_forest(spark, sf_dir):
 
 @query("risk_gbt")
 def risk_gbt(spark, sf_dir):
-    return risk_metrics(spark, sf_dir, "gradient_boosting", lambda d: risk.boosted(10, 0.1, 4))
+    return risk_metrics(spark, sf_dir, "gradient_boosting", lambda d: risk.boosted())
 
 
 @query("risk_gbt_undersampled")
@@ -145,7 +145,7 @@ def risk_svm(spark, sf_dir):
 @query("model_comparison")
 def model_comparison(spark, sf_dir):
     data = risk_data(spark, sf_dir)
-    chosen = risk.candidates(data.train.count(), rounds=5, trees=10, max_iter=50)
+    chosen = risk.candidates(data.train.count())
     return risk.compare(data, chosen).table.drop("train_seconds")  # a result that can be checked
 
 
@@ -199,4 +199,4 @@ def scored_consumers(spark, sf_dir):
     consumers = b.consumer(spark, sf_dir)
     labelled = cut_lineage(consumer_features(consumers, *args, labelled=True))
     unlabelled = cut_lineage(consumer_features(consumers, *args, labelled=False))
-    return risk.score_all(labelled, unlabelled, consumers, risk_columns(labelled), max_iter=50)
+    return risk.score_all(labelled, unlabelled, consumers, risk_columns(labelled))
