@@ -77,3 +77,12 @@ def test_staged_tables_go(spark, documents, tmp_path, monkeypatch):
     monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
     assert near_dedup.near_duplicates(documents).count() == documents.count()
     assert len(list(tmp_path.iterdir())) <= 2  # the signatures and the components, which the result reads
+
+
+def test_passing_over_bids_changes_no_winner(spark, sf_dir, monkeypatch):
+    """Every text of the smallest table, with the bound and with one that no bid exceeds."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    short = fingerprints.fingerprints(docs, ["doc_id"], "text", 16).collect()
+    monkeypatch.setattr(fingerprints, "BOUND", 1e12)
+    assert sorted(short) == sorted(fingerprints.fingerprints(docs, ["doc_id"], "text", 16).collect())
+    assert len(short) == docs.count()
