@@ -10,7 +10,7 @@ from checks.bindings import Registry, rnd
 from checks.flow_queries import ctxn
 from checks.score_queries import COEFFICIENTS, HASH_SQL, scorefeat
 from ledgerloom.operators import evaluate, sampling, scoring
-from ledgerloom.plans import attributions, boosting, memo, risk
+from ledgerloom.plans import attributions, boosting, memo, risk, trees
 from ledgerloom.plans.consumer_features import consumer_features
 from ledgerloom.session import cut_lineage, new_path
 
@@ -44,6 +44,14 @@ def memo_boosted(spark, sf_dir):
     return memo_report(spark, sf_dir, memo.boosted(3, 3), max_terms=500)
 
 
+@query("memo_softmax_boosted")
+def memo_softmax_boosted(spark, sf_dir):
+    """100 rounds of depth 6 on 2,000 terms, all classes in the same passes."""
+    train, test = memo_sides(spark, sf_dir)
+    report = memo.train_softmax(train, memo.fit_tfidf(train, max_terms=2000)).report(test)
+    return report.select("label", rnd("precision"), rnd("recall"), rnd("f1_score"), "support")
+
+
 @query("memo_bayes")
 def memo_bayes(spark, sf_dir):
     return memo_report(spark, sf_dir, memo.bayes())
@@ -96,6 +104,44 @@ def risk_forest(spark, sf_dir):
     return risk_metrics(spark, sf_dir, "balanced_forest", lambda d: risk.forest(), "undersampled")
 
 
+@query("risk_balanced_forest")
+def risk_balanced_forest(spark, sf_dir):
+    """200 trees, each on its own draw of both classes."""
+    data = risk_data(spark, sf_dir)
+    model = trees.fit_balanced_forest(data.train, data.features, risk.LABEL, risk.KEY)
+    scored = data.test.select(risk.KEY, risk.LABEL, model.probability(vector_to_array("features")).alias("p"))
+    out = evaluate.binary_metrics(cut_lineage(scored), "forest_of_balanced_draws", risk.LABEL, "p")
+    return out.select("model", *[rnd(c) for c in out.columns[1:]])
+
+
+@query(
+    "forest_draws",
+    f"""
+WITH {b.CONSUMER},
+d AS (SELECT consumer_id, CAST(dq_target AS INT) AS y FROM consumer WHERE dq_target IS NOT NULL),
+n AS (SELECT y, count(*) AS n FROM d GROUP BY y),
+rates AS (SELECT y, CAST((SELECT min(n) FROM n) AS DOUBLE) / n AS rate FROM n),
+terms AS (
+  SELECT y, k, sum(exp(-rate) * pow(rate, k) / factorial(k)) OVER (PARTITION BY y ORDER BY k) AS upto
+  FROM rates, (SELECT CAST(unnest(range(20)) AS INT) AS k)),
+limits AS (SELECT y, list(DISTINCT CAST(floor(4294967296 * upto) AS BIGINT)) AS l
+           FROM terms WHERE floor(4294967296 * upto) < 4294967296 GROUP BY y),
+r AS (SELECT d.consumer_id, d.y, l, unnest(range(200)) AS tree FROM d JOIN limits USING (y)),
+t AS (
+  SELECT tree, y, len(list_filter(l, lambda x: x <= chance)) AS times
+  FROM (SELECT *, {HASH_SQL.format(key="'42|' || tree || '|' || consumer_id")} AS chance FROM r))
+SELECT CAST(tree AS INT) AS tree, CAST(sum(times) FILTER (WHERE y = 0) AS BIGINT) AS negatives,
+       CAST(sum(times) FILTER (WHERE y = 1) AS BIGINT) AS positives
+FROM t GROUP BY tree
+""",
+)
+def forest_draws(spark, sf_dir):
+    """What each tree of a fitted forest was grown on, by class."""
+    rows = b.consumer(spark, sf_dir).withColumn("known", F.coalesce(F.col("credit_score").cast("double"), F.lit(0.0)))
+    model = trees.fit_balanced_forest(rows, ["known"], "dq_target", "consumer_id", vector=None)
+    return spark.createDataFrame(model.class_counts(), "tree int, negatives long, positives long")
+
+
 @query("risk_plain_forest")
 def risk_plain_forest(spark, sf_dir):
     return risk_metrics(spark, sf_dir, "random_forest", lambda d: risk.forest())
