@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from checks import bindings as b
 from checks.bindings import Registry, rnd
 from checks.flow_queries import ctxn
-from checks.score_queries import COEFFICIENTS, HASH_SQL, scorefeat
+from checks.score_queries import COEFFICIENTS, HASH_SQL, SCOREFEAT, scorefeat
 from ledgerloom.operators import evaluate, sampling, scoring
-from ledgerloom.plans import attributions, boosting, memo, risk, trees
+from ledgerloom.plans import attributions, boosting, memo, risk, screening, trees
 from ledgerloom.plans.consumer_features import consumer_features
 from ledgerloom.session import cut_lineage, new_path
 
@@ -226,6 +226,47 @@ def tuned_gbt(spark, sf_dir):
     return evaluate.binary_metrics(cut_lineage(scored.drop("features")), "tuned_boosting", "label", "p")
 
 
+@query(
+    "single_feature_models",
+    f"""
+WITH RECURSIVE {b.CONSUMER},
+{b.TXN},
+{SCOREFEAT},
+labelled AS (SELECT *, CAST(dq_target AS INT) AS y FROM scorefeat WHERE dq_target IS NOT NULL),
+weights AS (SELECT y, (SELECT count(*) FROM labelled) / (2.0 * count(*)) AS c FROM labelled GROUP BY y),
+longf AS (SELECT * FROM (UNPIVOT (SELECT y, {", ".join(COEFFICIENTS)} FROM labelled) ON {", ".join(COEFFICIENTS)} INTO NAME feature VALUE v)),
+m AS (SELECT feature, count(*) AS n, avg(v) AS mean, stddev_pop(v) AS std FROM longf GROUP BY feature),
+z AS (SELECT feature, y, CAST(c AS DOUBLE) AS c, (v - mean) / std AS x, 1 / (std * std) AS l2 FROM longf JOIN m USING (feature) JOIN weights USING (y)),
+fit AS (
+  SELECT 0 AS step, feature, CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS w FROM m
+  UNION ALL
+  SELECT step + 1, feature, b - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01), w - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01)
+  FROM (
+    SELECT step, feature, b, w, sum(c * (p - y)) AS g0, sum(c * (p - y) * x) + any_value(l2) * w AS g1, sum(c * p * (1 - p)) AS h00,
+           sum(c * p * (1 - p) * x) AS h01, sum(c * p * (1 - p) * x * x) + any_value(l2) AS h11
+    FROM (SELECT step, feature, b, w, y, c, x, l2, 1 / (1 + exp(-(b + w * x))) AS p FROM fit JOIN z USING (feature) WHERE step < 15)
+    GROUP BY step, feature, b, w))
+SELECT feature, n AS rows, round(b, 6) AS intercept, round(w, 6) AS slope FROM fit JOIN m USING (feature) WHERE step = 15
+""",
+)
+def single_feature_models(spark, sf_dir):
+    """A logistic model per feature on all labelled rows, on the feature's own scale of mean 0 and deviation 1."""
+    models = screening.fit_singles(scorefeat(spark, sf_dir), list(COEFFICIENTS), "dq_target")
+    out = spark.createDataFrame([(m.feature, m.rows, m.intercept, m.slope) for m in models], "feature string, rows long, intercept double, slope double")
+    return out.select("feature", "rows", rnd("intercept"), rnd("slope"))
+
+
+@query("feature_screening")
+def feature_screening(spark, sf_dir):
+    """Every feature's own model, fitted on the balanced training side and ranked by its area on the test side."""
+    data = risk_data(spark, sf_dir)
+    train, test = (
+        df.select(risk.LABEL, *[vector_to_array("features")[i].alias(f) for i, f in enumerate(data.features)]) for df in (data.train, data.test)
+    )
+    out = screening.screen(train, test, data.features, risk.LABEL)
+    return out.select("feature", "rows", rnd("intercept"), rnd("slope"), rnd("loss"), rnd("logistic_auc"))
+
+
 @query("model_roundtrip")
 def model_roundtrip(spark, sf_dir):
     rows = scorefeat(spark, sf_dir).filter("dq_target is not null").withColumnRenamed("dq_target", "label")

@@ -45,7 +45,7 @@ def test_only_model_queries_lack_sql():
     assert MODELS == {
         "memo_logreg", "memo_forest", "memo_boosted", "memo_bayes", "memo_bigram_linear", "memo_predictions",
         "risk_logreg", "risk_forest", "risk_gbt", "risk_gbt_undersampled", "risk_svm", "model_comparison",
-        "memo_softmax_boosted", "risk_balanced_forest", "risk_plain_forest", "tree_reason_codes", "top_features", "tuned_gbt", "model_roundtrip", "scored_consumers",
+        "memo_softmax_boosted", "risk_balanced_forest", "risk_plain_forest", "tree_reason_codes", "top_features", "tuned_gbt", "model_roundtrip", "scored_consumers", "feature_screening",
     }
 
 
