@@ -1,5 +1,7 @@
 """The block tree: exact against brute force, and pruning that pays."""
 
+import time
+
 import numpy as np
 import pytest
 
@@ -49,3 +51,31 @@ def test_visits_grow_less_than_quadratically(spark):
     few, many = (neighbors.visited_rows(frame(spark, clustered(n)), 1, block_rows=64) for n in (2_000, 16_000))
     assert many < few * 8**1.5  # quadratic growth would be 8 ** 2
     assert many < 16_000**2 / 20
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e6])
+def test_the_matrix_product_sorts_out_only_what_is_farther(shift):
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(3000, 24)).round(1) + shift
+    points[:40] = points[40:80]  # ties, and distances of 0
+    queries, ids = points[:400], np.arange(3000)
+    for k in (1, 5):
+        got = neighbors._closest(ids[:400], queries, ids, points, k)
+        direct = np.sqrt(((queries[:, None, :] - points[None]) ** 2).sum(axis=2))
+        direct[np.arange(400), np.arange(400)] = np.inf
+        expected = np.sort(direct, axis=1)[:, :k]
+        assert got.groupby("id").size().eq(k).all()
+        assert np.allclose(got.distance.to_numpy().reshape(400, k), expected, rtol=1e-12, atol=0)
+        assert got[got.id < 40].groupby("id").first().neighbor_id.tolist() == list(range(40, 80))
+
+
+def test_a_block_is_searched_by_matrix_products():
+    rng = np.random.default_rng(9)
+    points, ids = rng.normal(size=(4000, 64)), np.arange(4000)
+    begin = time.perf_counter()
+    for part in range(0, 1000, 50):  # differences of every pair, as the search worked before
+        difference = points[part : part + 50, None, :] - points[None]
+        np.partition(np.sqrt(np.einsum("ijk,ijk->ij", difference, difference)), 1, axis=1)
+    middle = time.perf_counter()
+    neighbors._closest(ids[:1000], points[:1000], ids, points, 1)
+    assert time.perf_counter() - middle < (middle - begin) / 2
