@@ -1,8 +1,11 @@
 """Model jobs: shapes, ranges and invariants (fits of other libraries cannot be matched)."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import memo, risk
@@ -93,3 +96,22 @@ def test_memo_model_round_trip(spark, tmp_path):
     pairs = memo.train(train, memo.bayes(), memo.bigram_features(buckets=1 << 12))
     report = {r["label"]: r for r in pairs.report(test).collect()}
     assert report["accuracy"]["recall"] == 1.0
+
+
+def test_models_are_fitted_side_by_side(spark, monkeypatch):
+    """Two fits that wait for each other."""
+    met = threading.Barrier(2, timeout=60)
+    rows = [(i, float(i % 2), Vectors.dense([float(i % 5), float(i % 3)])) for i in range(40)]
+    df = spark.createDataFrame(rows, ["consumer_id", "label", "features"])
+    fit = risk.LogisticRegression.fit
+
+    def waiting(self, *args):
+        met.wait()
+        return fit(self, *args)
+
+    monkeypatch.setattr(risk.LogisticRegression, "fit", waiting)
+    chosen = {name: risk.Candidate(risk.logistic(40, n, weighted=False)) for name, n in (("short", 2), ("long", 20))}
+    done = risk.compare(risk.PreparedData(df, df, ["a", "b"], df), chosen)
+    assert list(done.models) == ["short", "long"]
+    assert done.models["long"].getMaxIter() == 20
+    assert {r.model for r in done.table.collect()} == {"short", "long", "ensemble_weighted", "ensemble_max"}
