@@ -101,10 +101,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "set_key", "shingles"])
 
 
-def _best(pairs: DataFrame) -> DataFrame:
-    """One pair per pair of components: the one that shares most coordinates."""
+def _best(pairs: DataFrame, ways: int = 8) -> DataFrame:
+    """At most ``ways`` pairs per pair of components: those that share most coordinates, one of each way of a hash."""
     best = F.max(F.struct("shared", F.col("a"), F.col("b"))).alias("x")
-    return pairs.groupBy("part_a", "part_b").agg(best).select("x.a", "x.b")
+    way = F.pmod(F.xxhash64("a", "b"), F.lit(ways)).alias("way")
+    return pairs.groupBy("part_a", "part_b", way).agg(best).select("x.a", "x.b")
 
 
 def _possible(n_a: str, c_a: str, n_b: str, c_b: str):
@@ -113,15 +114,17 @@ def _possible(n_a: str, c_a: str, n_b: str, c_b: str):
     return most * 175 >= (F.col(n_a) + F.col(n_b)) * 75
 
 
-def near_links(tokens: DataFrame, sets: DataFrame, rounds: int = 2) -> DataFrame:
+def near_links(tokens: DataFrame, sets: DataFrame, rounds: int = 3) -> DataFrame:
     """Links ``(a, b)`` between similar representatives that connect all components of the similarity graph.
 
     ``tokens(rep, n, c, tokens array<long>)``: the size of a set, how many of its shingles occur in another set, and
     the shared coordinate values of its signature, rarest first. By the prefix principle a pair that shares MATCHES of
     them meets under one of the first size - MATCHES + 1 of each, so only these are posted. The first rounds pair one
-    document of each component under a value with the least one there, so a value that m documents share makes m - 1
-    pairs; confirmed links contract the components. The last round looks at the documents that still meet one of another
-    component under a value; of their pairs, those that also meet under a rare shingle.
+    document of each component under a value with one of the component that has most documents there, so a value that m
+    components share makes m - 1 pairs; confirmed links contract the components. After the first round these documents
+    are drawn anew for each value and round: a document outside a large component meets many of its members, not one of
+    them again and again. The last round looks at the documents that still meet one of another component under a value;
+    of their pairs, those that also meet under a rare shingle.
     """
     spark, made = tokens.sparkSession, []
 
@@ -151,12 +154,13 @@ def near_links(tokens: DataFrame, sets: DataFrame, rounds: int = 2) -> DataFrame
 
     for turn in range(rounds):
         placed = posts.join(parts, "rep")
-        heads = placed.groupBy("token", "part").agg(F.min(F.struct(F.col("rep").alias("b"), "n", "c")).alias("h")).select("token", "part", "h.*")
-        # Another document of the value leads in each round, so that one odd document does not part a group.
-        order = F.xxhash64("b", F.lit(turn)) if turn else F.col("b")
-        leader = F.min(F.struct(order.alias("o"), F.col("b").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.col("c").alias("c_a")))
+        order = F.xxhash64("rep", "token", F.lit(turn)) if turn else F.col("rep")
+        head = F.min(F.struct(order.alias("o"), F.col("rep").alias("b"), "n", "c")).alias("h")
+        heads = placed.groupBy("token", "part").agg(head, F.count(F.lit(1)).alias("m")).select("token", "part", "m", "h.*")
+        leader = F.min(F.struct((-F.col("m")).alias("m"), "o", F.col("b").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.col("c").alias("c_a")))
         leaders = heads.groupBy("token").agg(leader.alias("x"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-        pairs = heads.join(leaders.select("token", "x.*"), "token").withColumnRenamed("part", "part_b")
+        leaders = leaders.select("token", "x.a", "x.part_a", "x.n_a", "x.c_a")
+        pairs = heads.join(leaders, "token").withColumnRenamed("part", "part_b")
         pairs = pairs.filter((F.col("part_a") != F.col("part_b")) & _possible("n_a", "c_a", "n", "c"))
         pairs = matched(pairs.select("a", "b", "part_a", "part_b").distinct())
         found = confirm(held(_best(pairs), f"pairs{turn}"), f"links{turn}")

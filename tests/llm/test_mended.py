@@ -2,6 +2,7 @@
 
 import collections
 import html
+import random
 from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom import session
 from ledgerloom.llm import fingerprints, mixing, near_dedup, url_filters
 from tests.llm.conftest import EDGE
+from tests.llm.test_operators import brute_near
 
 
 def test_link_plans_stay_small(spark):
@@ -86,3 +88,24 @@ def test_passing_over_bids_changes_no_winner(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(fingerprints, "BOUND", 1e12)
     assert sorted(short) == sorted(fingerprints.fingerprints(docs, ["doc_id"], "text", 16).collect())
     assert len(short) == docs.count()
+
+
+def test_a_large_family_leaves_few_pairs_to_the_last_step(spark, monkeypatch):
+    """Pairs that reach the last step grow with the documents left over, not with the square of a family."""
+    draw, rows = random.Random(3), []
+    for i in range(300):
+        words = [f"w{j}" for j in range(120)]
+        for at in draw.sample(range(120), 2):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words)))
+    sizes, real = {}, near_dedup.staged
+
+    def counted(df, name):
+        out = real(df, name)
+        sizes[name] = out.count() if name == "rest" else None
+        return out
+
+    monkeypatch.setattr(near_dedup, "staged", counted)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: x[1] for i, x in brute_near(rows).items()}
+    assert sizes["rest"] < 300
