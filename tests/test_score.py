@@ -138,3 +138,23 @@ def test_final_scores_keep_unscored_consumers(spark):
     )
     rows = scoring.final_scores(ids, scored, scored).collect()
     assert [(r["consumer_id"], r["credit_score"], r["non_credit_top_1_feature"]) for r in rows] == [(1, 700, "a"), (2, None, None)]
+
+
+def test_tomek_links_search_once(spark):
+    """The search is done before the links are read from both ends; no plan after it holds it or joins by whole vectors."""
+    rows = [(i, [float(i * i % 7), float(i)], int(i % 3 == 0)) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, y int")
+    plan = neighbors.drop_tomek(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroup" not in plan and "Join Inner, (v" not in plan
+
+
+def test_nearest_lists_copies_of_any_number(spark):
+    """Groups of fewer and of more copies than neighbours are found in two ways; both agree with brute force."""
+    points = [(i, [0.0, 1.0]) for i in range(2)] + [(i, [0.0, -0.0]) for i in range(2, 9)] + [(9, [0.0, 0.0]), (10, [5.0, 5.0])]
+    df = spark.createDataFrame(points, "id long, v array<double>")
+    found = {}
+    for r in neighbors.nearest(df, 3).collect():
+        found.setdefault(r["id"], {})[r["rank"]] = (r["distance"], r["neighbor_id"])
+    for i, v in points:
+        others = sorted((sum((a - b) ** 2 for a, b in zip(v, w)) ** 0.5, j) for j, w in points if j != i)
+        assert found[i] == dict(enumerate(others[:3], 1))
