@@ -1,5 +1,6 @@
 """Model jobs: shapes, ranges and invariants (fits of other libraries cannot be matched)."""
 
+import math
 import threading
 
 import numpy as np
@@ -115,3 +116,16 @@ def test_models_are_fitted_side_by_side(spark, monkeypatch):
     assert list(done.models) == ["short", "long"]
     assert done.models["long"].getMaxIter() == 20
     assert {r.model for r in done.table.collect()} == {"short", "long", "ensemble_weighted", "ensemble_max"}
+
+
+def test_tfidf_vocabulary_is_counted_by_term(spark):
+    """Frequent terms first, equally frequent ones by name, whatever the partitions; counts and idf by hand."""
+    rows = [(i, " ".join([f"t{j:02d}" for j in range(40, 0, -1)] + ["often", "often"] * (i < 5))) for i in range(8)] + [(8, "x")]
+    memos = spark.createDataFrame(rows, "id long, memo string").repartition(5)
+    _, counted, scale, _ = memo.fit_tfidf(memos, max_terms=6, min_df=3, max_df=0.95).stages
+    assert counted.vocabulary == ["often", "t01", "t02", "t03", "t04", "t05"]
+    assert np.allclose(scale.getScalingVec(), [math.log(10 / 6) + 1] + [math.log(10 / 9) + 1] * 5, atol=1e-12)
+    model = memo.fit_tfidf(memos, max_terms=6, min_df=3, max_df=0.6)
+    assert model.stages[1].vocabulary == ["often"]
+    out = {r["id"]: r["counts"] for r in model.transform(memos).collect()}
+    assert out[0][0] == 2.0 and out[7].numNonzeros() == 0
