@@ -9,6 +9,7 @@ from checks.bindings import Registry, big, rnd, with_views
 from checks.bindings import text as as_text
 from ledgerloom.operators import profile, sampling, text
 from ledgerloom.plans import bayes
+from ledgerloom.session import staged
 
 registry = Registry()
 query = registry.add
@@ -241,7 +242,8 @@ def tfidf_terms(spark, sf_dir):
 )
 def bayes_scores(spark, sf_dir):
     sides = sampling.split_side(b.memo(spark, sf_dir), "id")
-    weights = text.tfidf_terms(sides, fitted_terms(spark, sf_dir))
+    # The fit and the prediction both read the vocabulary: it is counted once.
+    weights = text.tfidf_terms(sides, staged(fitted_terms(spark, sf_dir), "vocabulary"))
     model = bayes.fit_bayes(sides.filter("side = 'train'"), weights)
     out = model.predict(sides.filter("side = 'test'"), weights)
     return out.select("id", "category", "predicted", rnd("confidence"), rnd(F.array_max("class_log_scores"), "log_score"))

@@ -61,3 +61,11 @@ def test_p_value_of_the_gap(spark):
     # Values of the limit distribution at 0.5 and 1.5.
     assert got[0.1] == pytest.approx(0.963945, abs=1e-6) and got[0.3] == pytest.approx(0.022218, abs=1e-6)
     assert got[0.0] == 1.0 and got[0.5] is None and got[1.0] == pytest.approx(0.0, abs=1e-12)
+
+
+def test_query_counts_its_vocabulary_once(spark):
+    """The prediction reads the words that the fit has counted; its plan splits texts for the weights only."""
+    from checks import text_queries
+
+    plan = text_queries.bayes_scores(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct" not in plan and plan.count("regexp_extract_all") == 1
