@@ -124,6 +124,35 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert got[3] == got[4] == own and got[5] == "other"  # two distinct contents share the fill
 
 
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_suffix_array_shows_the_shared_strings(spark, batch):
+    """Compared with all pairs of pages; few words, so that equal strings lie across batches and ranges, with copies."""
+    rng = random.Random(batch)
+    words = ["a", "b", "b\x01", "é", "ab"]
+    rows = [(f"h{i % 2}" if i % 9 else "", i, i % 4 == 0, " ".join(rng.choices(words, [6, 1, 1, 1, 1], k=rng.randrange(14)))) for i in range(60)]
+    rows += [("h0", 1000, False, " ".join("uvwxyzuvwxyz")), ("h0", 1001, True, " ".join(["c"] * 3)), *rows[:20]]
+    df = spark.createDataFrame(rows, "host string, h long, declared boolean, stream string")
+    k, found = 4, collections.defaultdict(set)
+    for host, h, _, stream in rows:
+        w = stream.split(" ")
+        for i in range(len(w) - k + 1):
+            found[host, tuple(w[i : i + k])].add(h)
+    want = collections.defaultdict(set)
+    for host, h, declared, stream in rows:
+        w = stream.split(" ")
+        want[host, h] |= {i for i in range(len(w) - k + 1) if host and not declared and len(found[host, tuple(w[i : i + k])]) > 1}
+    conf = {"spark.sql.execution.arrow.maxRecordsPerBatch": batch, "spark.sql.shuffle.partitions": 9, "spark.sql.adaptive.coalescePartitions.enabled": False}
+    before = {name: spark.conf.get(name) for name in conf}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        got = {(r.host, r.h): set(r.places) for r in html_extract.shared_places(df, k).collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(got) > 20 and got == {key: places for key, places in want.items() if places}
+
+
 def test_pages_of_the_tables(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for r in html_extract.extract_text(pages).join(pages.drop("url"), "page_id").collect():
