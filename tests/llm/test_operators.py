@@ -124,6 +124,18 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert got[3] == got[4] == own and got[5] == "other"  # two distinct contents share the fill
 
 
+def test_text_of_declared_pages_is_compared_too(spark):
+    """Text around an article loses what the host's pages share and keeps the rest; articles stay whole, but count."""
+    fill, quote = " ".join(f"w{i}" for i in range(14)), " ".join(f"q{i}" for i in range(14))
+    around = "<main><h2>Lead {0}</h2><article><p>" + quote + "</p></article><p>end{0} " + fill + "</p></main><p>below</p>"
+    pages = [(1, "http://h.com/1", around.format(1)), (2, "http://h.com/2", around.format(2)), (3, "http://g.com/3", around.format(3)),
+             (4, "http://g.com/4", f"<article>{quote} {fill}</article>"), (5, "http://g.com/5", f"<p>own {quote}</p>"),
+             (6, "http://f.com/6", f"<article>{quote}</article>"), (7, "http://f.com/7", f"<article>{quote} seven</article>")]
+    got = {r.page_id: r.text for r in html_extract.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in (1, 2, 3)] == [f"Lead {i}\n\n{quote}\n\nend{i}" for i in (1, 2, 3)]
+    assert got[4] == f"{quote} {fill}" and got[5] == "own" and got[6] == quote and got[7] == f"{quote} seven"
+
+
 @pytest.mark.parametrize("batch", [3, 10_000])
 def test_suffix_array_shows_the_shared_strings(spark, batch):
     """Compared with all pairs of pages; few words, so that equal strings lie across batches and ranges, with copies."""
