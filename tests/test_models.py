@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from checks import model_queries
 from ledgerloom.plans import memo, risk
 
 
@@ -129,3 +130,13 @@ def test_tfidf_vocabulary_is_counted_by_term(spark):
     assert model.stages[1].vocabulary == ["often"]
     out = {r["id"]: r["counts"] for r in model.transform(memos).collect()}
     assert out[0][0] == 2.0 and out[7].numNonzeros() == 0
+
+
+def test_boosted_memos_are_fitted_with_all_rounds_and_terms(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(model_queries, "memo_report", lambda spark, sf_dir, classifier, max_terms=2000: asked.append((classifier, max_terms)))
+    model_queries.memo_boosted(spark, None)
+    (model, terms), = asked
+    tree = model.getClassifier()
+    assert (tree.getMaxIter(), tree.getMaxDepth(), terms) == (100, 6, 2000)
+    assert model.getParallelism() > 1  # classes side by side
