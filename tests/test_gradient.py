@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 
+from checks import model_queries
 from ledgerloom.plans import gradient, risk
 
 
@@ -61,3 +62,22 @@ def test_comparison_boosts_inside_tasks(rows):
     few = {n: risk.candidates(300, rounds=4)[n] for n in ("gradient_boosting", "weighted_boosting")}
     out = risk.compare(risk.PreparedData(rows, rows, ["a", "b", "c", "d"], rows), few)
     assert {r["model"] for r in out.table.filter("roc_auc > 0.8").collect()} >= set(few)
+
+
+def test_the_search_tries_all_settings_and_refits_the_best(spark, rows, monkeypatch):
+    out = risk.tune_boosting(rows, n_trials=6, rounds=(3, 6))
+    assert len(out.validationMetrics) == len(out.trials) == 6 and len({t["maxDepth"] for t in out.trials}) > 1
+    best = out.trials[int(np.argmax(out.validationMetrics))]
+    assert len(out.bestModel.trees) == best["maxIter"] and max(out.validationMetrics) > 0.8
+    monkeypatch.setattr(gradient, "LOCAL_CELLS", 1)
+    assert len(risk.tune_boosting(rows, n_trials=2, rounds=(2,)).validationMetrics) == 2
+
+
+def test_the_query_searches_the_whole_space(monkeypatch, rows):
+    asked = []
+    monkeypatch.setattr(gradient, "validation_areas", lambda spark, held, wanted, share, seed: asked.extend(wanted) or [0.5] * len(wanted))
+    monkeypatch.setattr(gradient.Boosting, "fit_rows", lambda *args: gradient.BoostedTrees([np.zeros(0)] * 4, []))
+    monkeypatch.setattr(model_queries, "risk_data", lambda *args: risk.PreparedData(rows, rows, ["a", "b", "c", "d"], rows))
+    model_queries.tuned_gbt(None, None)
+    assert len(asked) == 100 and {s.rounds for s in asked} == set(range(50, 500, 50))
+    assert {s.depth for s in asked} == set(range(3, 11)) and len({s.tried for s in asked}) == 100
