@@ -76,6 +76,22 @@ def test_whole_scoring_job(spark, table):
     assert all(r["non_credit_top_1_feature"] != "credit_score" for r in rows)
 
 
+def test_both_scoring_models_are_fitted_side_by_side(table, monkeypatch):
+    """Two fits that wait for each other; the credit score is only in the first."""
+    met, widths, fit = threading.Barrier(2, timeout=60), [], risk.LogisticRegression.fit
+
+    def waiting(self, rows):
+        met.wait()
+        widths.append(rows.first()["features"].size)
+        return fit(self, rows)
+
+    monkeypatch.setattr(risk.LogisticRegression, "fit", waiting)
+    open_rows = table.filter("consumer_id < 5").withColumn("dq_target", F.lit(None).cast("double"))
+    rows = risk.score_all(table.filter("consumer_id >= 30"), open_rows, open_rows.select("consumer_id", "dq_target"), FEATURES, max_iter=5).collect()
+    assert len(rows) == 5 and sorted(widths) == [3, 4]
+    assert all(r["non_credit_top_1_feature"] != "credit_score" for r in rows)
+
+
 def test_memo_model_round_trip(spark, tmp_path):
     words = {"FOOD": "burger pizza coffee", "RENT": "landlord lease flat", "PAY": "salary payroll bonus"}
     rows = [
